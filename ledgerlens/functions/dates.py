@@ -91,3 +91,16 @@ def in_range(point: ColumnOrName, lo: ColumnOrName, hi: ColumnOrName) -> Column:
     """``lo <= point <= hi``; any NULL bound -> NULL (no match)."""
     p = col(point)
     return (p >= col(lo)) & (p <= col(hi))
+
+
+def in_exception_windows(date_col: ColumnOrName, key_col: ColumnOrName, windows, floor) -> Column:
+    """``(key = k1 AND d BETWEEN lo1 AND hi1) OR ... OR d >= floor``.
+
+    ``windows`` is a short list of ``(key, lo, hi)``; it becomes one OR
+    predicate (pushed to the scan as far as Parquet statistics allow).
+    """
+    dc, kc = to_date_col(date_col), col(key_col)
+    cond = dc >= F.lit(floor).cast("date")
+    for k, lo, hi in windows:
+        cond = cond | ((kc == F.lit(k)) & (dc >= F.lit(lo).cast("date")) & (dc <= F.lit(hi).cast("date")))
+    return cond

@@ -183,7 +183,8 @@ def chassis_fallback(asset_no: ColumnOrName, chassis: ColumnOrName,
 
 
 def composite_value(asset_no, attached_no, value, attached_value, prefix=K.ASSET_COMPOSITE_PREFIX) -> Column:
-    cond = (F.substring(col(asset_no), 1, 2) == prefix) | (F.substring(col(attached_no), 1, 2) == prefix)
+    n = len(prefix)
+    cond = (F.substring(col(asset_no), 1, n) == prefix) | (F.substring(col(attached_no), 1, n) == prefix)
     return F.when(cond, col(value) + F.coalesce(col(attached_value), F.lit(0))).otherwise(col(value))
 
 
