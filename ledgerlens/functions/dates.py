@@ -19,7 +19,7 @@ def parse_date(c: ColumnOrName, fmt: str = ISO_DATE) -> Column:
     ``to_date`` raises under ANSI mode; ``try_to_date`` keeps a bad row
     from failing the whole job. Date/timestamp inputs are cast directly.
     """
-    return F.try_to_date(col(c).cast("string"), F.lit(fmt))
+    return F.try_to_date(col(c).cast("string"), fmt)
 
 
 def parse_date_sentinel(c: ColumnOrName, sentinels: Sequence[str] = (DATE_SENTINEL,), fmt: str = ISO_DATE) -> Column:
