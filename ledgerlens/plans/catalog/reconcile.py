@@ -20,13 +20,16 @@ def contract_months(spark, sf):
 def billing_lines(spark, sf):
     """B side: per (order, line) ship window plus the whole order's ship window.
 
-    Two grouped aggregates (each pre-aggregated map-side) joined on the
-    order key; a hot order is split across its line numbers first.
+    The order window is aggregated from the (already reduced) line windows,
+    so lineitem is scanned and shuffled once; both aggregates are partial
+    (map-side) and the final join on the order key is an equi join AQE can
+    split when one order owns a large share of the lines (a window function
+    over the order key could not be split).
     """
     li = t(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", d("l_shipdate").alias("sd"))
     lines = li.groupBy("l_orderkey", "l_linenumber").agg(F.min("sd").alias("b_ini"), F.max("sd").alias("b_fim"))
-    heads = li.groupBy(F.col("l_orderkey").alias("h_orderkey")).agg(F.min("sd").alias("h_ini"),
-                                                                     F.max("sd").alias("h_fim"))
+    heads = lines.groupBy(F.col("l_orderkey").alias("h_orderkey")).agg(F.min("b_ini").alias("h_ini"),
+                                                                        F.max("b_fim").alias("h_fim"))
     b = lines.join(heads, lines["l_orderkey"] == heads["h_orderkey"], "inner").drop("h_orderkey")
     return b.withColumnRenamed("l_orderkey", "b_orderkey").withColumnRenamed("l_linenumber", "b_linenumber")
 
