@@ -11,7 +11,20 @@ ColumnOrName = Column | str
 
 
 def col(c: ColumnOrName) -> Column:
-    return F.col(c) if isinstance(c, str) else c
+    """Column by name (names may hold spaces, dots or accents) or the Column itself."""
+    return qcol(c) if isinstance(c, str) else c
+
+
+def qcol(name: str) -> Column:
+    """``F.col`` for a plain column name: dots are part of the name, not struct access."""
+    if name.startswith("`") or name == "*":
+        return F.col(name)
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def ref(df, name: str) -> Column:
+    """``df[name]`` with the name taken literally (dots included)."""
+    return df["`" + name.replace("`", "``") + "`"]
 
 
 def lit_or_col(v) -> Column:

@@ -14,6 +14,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerlens.functions.text import qcol
+
 AS_OF_COL = "as_of"
 
 
@@ -22,7 +24,7 @@ def write_snapshot(df: DataFrame, path: str, as_of: str, sort_cols: Sequence[str
     """Write ``df`` stamped with ``as_of`` (replacing only that partition)."""
     out = df.withColumn(partition_col, F.lit(as_of))
     if sort_cols:
-        out = out.sortWithinPartitions(*sort_cols)
+        out = out.sortWithinPartitions(*[qcol(c) for c in sort_cols])
     (out.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(partition_col)
