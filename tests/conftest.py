@@ -28,4 +28,6 @@ def duck():
 def rows(df, cols=None):
     """Sorted list of row tuples (Spark DataFrame)."""
     cols = cols or df.columns
-    return sorted((tuple(r[c] for c in cols) for r in df.collect()), key=repr)
+    def key(t):
+        return tuple((False, 0) if v is None else (True, v) for v in t)
+    return sorted((tuple(r[c] for c in cols) for r in df.collect()), key=key)

@@ -1,0 +1,120 @@
+"""Operator contracts on hand-made DataFrames."""
+
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from ledgerlens.operators import (coalesce_sides, dedupe_keep_null, fallback_lookup, fanout_audit, interval_join,
+                                  latest_per_key, lookup_join, pivot_by_key, reconcile_full, role_lookup, semi_filter,
+                                  sum_of_sums, surrogate_id)
+from tests.conftest import rows
+
+D = dt.date
+
+
+def test_pivot_by_key_sum_and_codes_only(spark):
+    df = spark.createDataFrame([("k1", "A", 1.0), ("k1", "A", 2.0), ("k1", "B", 5.0), ("k2", "C", 7.0)],
+                               "k string, code string, v double")
+    out = pivot_by_key(df, ["k"], "code", [("a", "A"), ("b", "B")], value_col="v")
+    assert rows(out, ["k", "a", "b"]) == [("k1", 3.0, 5.0)]  # k2 has no listed code
+    out2 = pivot_by_key(df, ["k"], "code", [("a", "A"), ("b", "B")], value_col="v", codes_only=False)
+    assert rows(out2, ["k", "a", "b"]) == [("k1", 3.0, 5.0), ("k2", None, None)]
+
+
+def test_sum_of_sums_null_when_a_term_is_missing(spark):
+    df = spark.createDataFrame([("a", 1.0, 2.0), ("a", 3.0, None), ("b", 1.0, None)], "k string, x double, y double")
+    assert rows(sum_of_sums(df, ["k"], ["x", "y"], "t"), ["k", "t"]) == [("a", 6.0), ("b", None)]
+
+
+def test_latest_per_key_nulls_first(spark):
+    df = spark.createDataFrame([("u", None, 1), ("u", "2024-01-02", 2), ("v", "2024-01-01", 3), ("v", "2024-01-03", 4)],
+                               "k string, d string, id int")
+    from ledgerlens.operators import desc_nulls_first
+    out = latest_per_key(df, ["k"], [desc_nulls_first("d"), F.col("id").desc()])
+    assert rows(out, ["k", "id"]) == [("u", 1), ("v", 4)]
+
+
+def test_dedupe_keep_null_keeps_every_null_key_row(spark):
+    df = spark.createDataFrame([("a", 2), ("a", 1), (None, 3), (None, 4), ("b", 5)], "k string, o int")
+    out = dedupe_keep_null(df, "k", [F.col("o").asc()])
+    assert rows(out, ["k", "o"]) == [(None, 3), (None, 4), ("a", 1), ("b", 5)]
+
+
+def test_surrogate_id_is_deterministic_and_unique(spark):
+    df = spark.createDataFrame([("F1", "10", 1.0), ("F1", "10", 2.0), ("F2", "10", 1.0)], "f string, i string, v double")
+    a = rows(surrogate_id(df, ["f", "i"], ["v"]), ["line_id", "v"])
+    b = rows(surrogate_id(df.repartition(3), ["f", "i"], ["v"]), ["line_id", "v"])
+    assert a == b == [("F1|10|1", 1.0), ("F1|10|2", 2.0), ("F2|10|1", 1.0)]
+
+
+def test_interval_join_bucketed_equals_plain(spark):
+    left = spark.createDataFrame([(1, D(2024, 1, 5)), (1, D(2024, 3, 1)), (2, D(2024, 1, 1)), (1, None)],
+                                 "lk int, p date")
+    right = spark.createDataFrame([(1, D(2024, 1, 1), D(2024, 2, 15), "r1"), (1, D(2024, 2, 1), D(2024, 3, 31), "r2"),
+                                   (2, D(2024, 2, 1), D(2024, 1, 1), "bad"), (1, None, D(2024, 12, 31), "open")],
+                                  "rk int, lo date, hi date, tag string")
+    plain = interval_join(left, right, [("lk", "rk")], "p", "lo", "hi", how="left")
+    bucketed = interval_join(left, right, [("lk", "rk")], "p", "lo", "hi", how="left", bucket_days=7)
+    cols = ["lk", "p", "tag"]
+    assert rows(plain, cols) == rows(bucketed, cols)
+    assert ("lk", "p", "tag") and (1, D(2024, 1, 5), "r1") in rows(plain, cols)
+
+
+def test_reconcile_full_keeps_both_sides(spark):
+    a = spark.createDataFrame([(1, 5), (1, 50), (2, 7), (None, 1)], "ak int, ap int")
+    b = spark.createDataFrame([(1, 0, 10), (1, 40, 60), (3, 0, 10), (1, 100, 200)], "bk int, lo int, hi int")
+    cols = ["ak", "ap", "bk", "lo", "hi"]
+    single = rows(reconcile_full(a, b, [("ak", "bk")], [("ap", "lo", "hi")], strategy="single"), cols)
+    split = rows(reconcile_full(a, b, [("ak", "bk")], [("ap", "lo", "hi")], strategy="split"), cols)
+    assert single == split
+    assert len(single) == 2 + 2 + 2  # two matches, two left-only, two right-only
+
+
+def test_reconcile_full_rejects_shared_names(spark):
+    a = spark.createDataFrame([(1,)], "k int")
+    with pytest.raises(ValueError):
+        reconcile_full(a, a, [("k", "k")], [])
+
+
+def test_lookup_join_language_and_fanout(spark):
+    f = spark.createDataFrame([("x", "c1"), ("y", "c2")], "id string, code string")
+    dim = spark.createDataFrame([("c1", "P", "um"), ("c1", "E", "one"), ("c2", "P", "dois"), ("c2", "P", "two")],
+                                "code string, spras string, txt string")
+    out = lookup_join(f, dim, on=[("code", "code")], select={"label": "txt"}, lang="P")
+    assert rows(out, ["id", "label"]) == [("x", "um"), ("y", "dois"), ("y", "two")]
+    audit = fanout_audit(f, dim.filter("spras = 'P'"), "code", "code")
+    assert rows(audit, ["key", "fact_rows", "dim_rows", "joined_rows"]) == [("c2", 1, 2, 2)]
+
+
+def test_role_lookup_join_and_pivot_agree_on_unique_roles(spark):
+    docs = spark.createDataFrame([("d1",), ("d2",)], "doc string")
+    partners = spark.createDataFrame([("d1", "ZF", "p1"), ("d1", "ZV", "p2"), ("d2", "ZV", "p3")],
+                                     "vbeln string, parvw string, lifnr string")
+    roles = {"ZF": "rep", "ZV": "seller"}
+    a = role_lookup(docs, partners, "doc", "vbeln", "parvw", "lifnr", roles, mode="join")
+    b = role_lookup(docs, partners, "doc", "vbeln", "parvw", "lifnr", roles, mode="pivot")
+    assert rows(a, ["doc", "rep", "seller"]) == rows(b, ["doc", "rep", "seller"]) == [("d1", "p1", "p2"),
+                                                                                      ("d2", None, "p3")]
+
+
+def test_fallback_lookup_blank_aware(spark):
+    f = spark.createDataFrame([("o1", "c1", "c9"), ("o2", "c2", "c9"), ("o3", "c3", "c9")],
+                              "o string, own string, parent string")
+    dim = spark.createDataFrame([("c1", "A"), ("c2", ""), ("c9", "P")], "k string, v string")
+    out = fallback_lookup(f, dim, "k", "own", "parent", {"val": "v"}, blank_aware=["val"])
+    assert rows(out, ["o", "val"]) == [("o1", "A"), ("o2", "P"), ("o3", "P")]
+    strict = fallback_lookup(f, dim, "k", "own", "parent", {"val": "v"})
+    assert rows(strict, ["o", "val"]) == [("o1", "A"), ("o2", ""), ("o3", "P")]
+
+
+def test_coalesce_sides_blank_aware(spark):
+    df = spark.createDataFrame([("", "b"), (None, "b"), ("a", "b")], "x string, y string")
+    out = coalesce_sides(df, {"plain": ("x", "y"), "blank": ("x", "y", True)})
+    assert rows(out, ["plain", "blank"]) == [("", "b"), ("a", "a"), ("b", "b")]
+
+
+def test_semi_filter_never_duplicates(spark):
+    df = spark.createDataFrame([(1,), (2,)], "k int")
+    q = spark.createDataFrame([(1,), (1,), (1,)], "k int")
+    assert rows(semi_filter(df, q, "k")) == [(1,)]
