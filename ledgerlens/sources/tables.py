@@ -51,3 +51,29 @@ class Tables:
         if name.startswith("_") or name in ("spark", "base_dir"):
             raise AttributeError(name)
         return self[name]
+
+
+def shared_path(spark: SparkSession, *parts: str) -> str:
+    """A path under the shared checkpoint folder (``spark.checkpoint.dir``)."""
+    from ledgerlens.session import checkpoint_dir
+
+    return os.path.join(checkpoint_dir(spark), "tables", *parts)
+
+
+def write_read(spark: SparkSession, df: DataFrame, *parts: str) -> DataFrame:
+    """Write ``df`` as Parquet under the shared folder and return the re-read table."""
+    path = shared_path(spark, *parts)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
+def materialize(spark: SparkSession, tables: dict[str, DataFrame], name: str) -> dict[str, DataFrame]:
+    """Write each DataFrame as Parquet under the shared checkpoint folder and read it back.
+
+    Cuts the lineage of derived tables that many later stages read: each is
+    computed once, later plans start from a plain Parquet scan (with pushdown
+    and pruning), and a lost executor only recomputes from those files.
+    The folder is the one named by ``spark.checkpoint.dir`` (never a
+    machine-local temporary folder on a cluster).
+    """
+    return {tname: write_read(spark, df, name, tname) for tname, df in tables.items()}
