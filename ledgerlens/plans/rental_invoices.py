@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ledgerlens.functions import codes as K
 from ledgerlens.functions import rules
 from ledgerlens.functions.text import join_words, tax_id_pick
-from ledgerlens.operators import lookup_join
+from ledgerlens.operators import lookup_join, text_lookup
 
 
 def rental_invoices(vbrp: DataFrame, vbrk: DataFrame, vbak: DataFrame, kna1: DataFrame, tvakt: DataFrame,
@@ -27,7 +27,7 @@ def rental_invoices(vbrp: DataFrame, vbrk: DataFrame, vbak: DataFrame, kna1: Dat
     j = lookup_join(j, kna1, on=[("kunrg_ana", "kunnr")],
                     select={"c_kunnr": "kunnr", "stcd1": "stcd1", "stcd2": "stcd2", "name1": "name1",
                             "name2": "name2", "name3": "name3"})
-    j = lookup_join(j, tvakt, on=[("pstyv", "auart")], select={"tipo_nfs": "bezei"}, lang=K.TEXT_LANGUAGE)
+    j = text_lookup(j, tvakt, on=[("pstyv", "auart")], select={"tipo_nfs": "bezei"}, lang=K.TEXT_LANGUAGE)
     j = lookup_join(j, vbak, on=[("aubel", "vbeln")], select={"n_contrato": "vgbel"})
     # profit-centre texts have no language key: a centre with several texts multiplies rows, as in SQL
     j = lookup_join(j, cepct, on=[("prctr", "prctr")], select={"ktext": "ktext"})

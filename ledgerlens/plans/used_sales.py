@@ -9,7 +9,7 @@ from ledgerlens.functions import codes as K
 from ledgerlens.functions import rules
 from ledgerlens.functions.dates import month_start, parse_date
 from ledgerlens.functions.text import join_words, party_name, tax_id_pick
-from ledgerlens.operators import lookup_join, pivot_by_key, semi_filter
+from ledgerlens.operators import lookup_join, text_lookup, pivot_by_key, semi_filter
 
 
 def _sale_items(vbrp: DataFrame) -> DataFrame:
@@ -45,7 +45,7 @@ def used_sales(vbrp: DataFrame, vbrk: DataFrame, kna1: DataFrame, tvzbt: DataFra
     j = lookup_join(j, kna1, on=[("kunag_ana", "kunnr")],
                     select={"c_kunnr": "kunnr", "stcd1": "stcd1", "stcd2": "stcd2", "name1": "name1",
                             "name2": "name2", "name3": "name3"})
-    j = lookup_join(j, tvzbt, on=[("h_zterm", "zterm")], select={"cond_pag": "vtext"}, lang=K.TEXT_LANGUAGE)
+    j = text_lookup(j, tvzbt, on=[("h_zterm", "zterm")], select={"cond_pag": "vtext"}, lang=K.TEXT_LANGUAGE)
     j = lookup_join(j, t001w, on=[("werks", "werks")], select={"nome_centro": "name1"})
     j = lookup_join(j, cepct, on=[("prctr", "prctr")], select={"nome_cl": "ktext"})
     acc = bseg.filter((F.col("vorgn") == K.ACCOUNTING_PROCESS) & (F.col("buzei") == K.ACCOUNTING_FIRST_ITEM))
