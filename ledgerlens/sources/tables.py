@@ -54,10 +54,16 @@ class Tables:
 
 
 def shared_path(spark: SparkSession, *parts: str) -> str:
-    """A path under the shared checkpoint folder (``spark.checkpoint.dir``)."""
+    """A stable path under the shared folder named by ``spark.checkpoint.dir``.
+
+    The configured folder itself is used (not the per-application subfolder
+    Spark creates for RDD checkpoints), so a rerun overwrites the same tables
+    instead of leaving a new copy behind.
+    """
     from ledgerlens.session import checkpoint_dir
 
-    return os.path.join(checkpoint_dir(spark), "tables", *parts)
+    base = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or checkpoint_dir(spark)
+    return os.path.join(base, "ledgerlens", "tables", *parts)
 
 
 def write_read(spark: SparkSession, df: DataFrame, *parts: str) -> DataFrame:
