@@ -111,7 +111,7 @@ def test_t16_inclusive_days_and_nulls(spark):
     assert [x.x for x in r] == [31, 0]
 
 
-def test_t17_party_name_falls_back_on_blank_org(spark):
+def test_party_name_falls_back_on_blank_org(spark):
     r = one(spark, [party_name("o1", "o2", "f", "l").alias("x")], [(None, None, "Ana", "Lima"), ("Acme", None, "x", "y")],
             "o1 string, o2 string, f string, l string")
     assert [x.x for x in r] == ["Ana Lima", "Acme "]
@@ -125,3 +125,16 @@ def test_code_map_null_goes_to_default(spark):
 def test_parse_date_lenient(spark):
     r = one(spark, [parse_date("d").alias("x")], [("2024-13-01",), ("2024-01-02",)], "d string")
     assert [x.x for x in r] == [None, dt.date(2024, 1, 2)]
+
+
+def test_t17_return_without_item_filter_is_distinct(spark):
+    from ledgerlens.plans.billing_reconciliation import returns
+    from tests.fixtures import mk
+    vbak = mk(spark, "vbak", [dict(vbeln="H1", vbtyp="H", vgbel="F1", erdat="2024-05-02")])
+    vbrp = mk(spark, "vbrp", [dict(vbeln="G1", posnr="10", aubel="H1", fkdat_ana="2024-05-03"),
+                              dict(vbeln="G1", posnr="20", aubel="H1", fkdat_ana="2024-05-03")])
+    vbrk = mk(spark, "vbrk", [dict(vbeln="G1", fkart="ZDEV", fksto="")])
+    bseg = mk(spark, "bseg", [dict(vbeln="G1", belnr="D1", vorgn="SD00", buzei="001"),
+                              dict(vbeln="G1", belnr="D1", vorgn="SD00", buzei="002")])
+    out = returns(vbak, vbrp, vbrk, bseg).collect()
+    assert len(out) == 1 and out[0]["Mes Contabil Dev."] == dt.date(2024, 5, 1)
