@@ -155,6 +155,8 @@ def _contract_tables(spark):
         dict(vbeln="0040000002", posnr="10", vbtyp_ana="G", auart_ana="ZLP", kunnr_ana="C1", matnr="M1",
              arktx="Seguro e avaria", charg="A2", knumv_ana="K2", abgru="01"),
         dict(vbeln="0000000003", posnr="10", vbtyp_ana="C", kunnr_ana="C1"),  # not a contract
+        dict(vbeln="0040000002", posnr="20", vbtyp_ana="G", auart_ana="ZLP", kunnr_ana="C1", matnr="M1",
+             arktx="Trator", charg="A9", knumv_ana="K2"),  # the one active item
     ])
     kna1 = mk(spark, "kna1", [dict(kunnr="C1", stcd1=None, stcd2="P1", name1="Cli", name2="", name3=None,
                                    ort01="Cidade", regio="SP")])
@@ -167,7 +169,8 @@ def _contract_tables(spark):
                                 dict(objectid="0040000001CD", username="bia", udate="2024-02-01", utime="09:00:00")])
     veda = mk(spark, "veda", [dict(vbeln="0040000001", vposn="000000", vbegdat="2024-01-01", venddat="2024-12-31",
                                    vabndat="2024-01-15"),
-                              dict(vbeln="0040000001", vposn="20", vbegdat="2024-03-01")])
+                              dict(vbeln="0040000001", vposn="20", vbegdat="2024-03-01"),
+                              dict(vbeln="0040000002", vposn="000000", vbegdat="2024-01-01", venddat="2024-12-31")])
     tvfst = mk(spark, "tvfst", [dict(faksp="B1", spras="P", vtext="Bloqueado")])
     tvagt = mk(spark, "tvagt", [dict(abgru="01", spras="P", bezei="Recusa cliente")])
     t052u = mk(spark, "t052u", [dict(zterm="T1", spras="P", text1="30 dias")])
@@ -189,7 +192,7 @@ def _contract_tables(spark):
 def test_contract_items_and_status(spark):
     items = contract_items(*_contract_tables(spark), extracted_at="2024-06-01 12:00:00")
     out = {(r["N. Contrato"], r["Item"]): r for r in items.collect()}
-    assert set(out) == {("0040000001", "10"), ("0040000001", "20"), ("0040000002", "10")}
+    assert set(out) == {("0040000001", "10"), ("0040000001", "20"), ("0040000002", "10"), ("0040000002", "20")}
     a, b, c = out[("0040000001", "10")], out[("0040000001", "20")], out[("0040000002", "10")]
     assert a["Tipo Cobranca"] == "Máquina" and b["Tipo Cobranca"] == "Fretes" and c["Tipo Cobranca"] == "Avarias"
     assert a["Status Ativo UCA"] == "Devolvido" and b["Status Ativo UCA"] == "Não Encontrado"
@@ -205,4 +208,38 @@ def test_contract_items_and_status(spark):
     assert a["Data Inicio Item"] == dt.date(2024, 1, 1) and b["Data Inicio Item"] == dt.date(2024, 3, 1)
     assert a["Dia Fat."] == "15" and a["Bloq. Doc. Faturamento"] == "Bloqueado" and c["Motivo de Recusa"] == "Recusa cliente"
     st = {(r["N. Contrato"], r["Item"]): r["Status_Item"] for r in contract_item_status(items, as_of="2024-06-01").collect()}
-    assert st == {("0040000001", "10"): "Inativo", ("0040000001", "20"): "Inativo", ("0040000002", "10"): "Inativo"}
+    # blocked header / freight item / refused item are inactive; the unblocked machine with a serial is active
+    assert st == {("0040000001", "10"): "Inativo", ("0040000001", "20"): "Inativo", ("0040000002", "10"): "Inativo",
+                  ("0040000002", "20"): "Ativo"}
+
+
+def test_priced_flow_golden_rows(spark):
+    from ledgerlens.plans.priced_flow import priced_flow
+    d = dt.date
+    cols = ("`N. Ordem` string, `Tipo de Material` string, `Status Ordem` string, Ini_Prog_Linha date, "
+            "Fim_Prog_Linha date, Ini_Prog_Cabe date, Fim_Prog_Cabe date, Preco double, Seguro double, "
+            "Frete double, Avaria double, Desconto double, Total_H_Var double, Total_H_Extra double, "
+            "Total_H_Exc double, Bloqueio string, Recusa string, `Doc. Contabil Dev.` string")
+    data = [
+        ("r1", "Máquina", "BM PENDENTE", d(2024, 1, 5), d(2024, 1, 31), d(2024, 1, 1), d(2024, 1, 31),
+         300.0, 10.0, 5.0, 0.0, -4.0, 3.0, 0.0, 2.0, None, None, None),
+        ("r2", "Implementos", "FATURADO", d(2024, 2, 1), d(2024, 2, 29), d(2024, 2, 1), d(2024, 2, 29),
+         100.0, -2.0, -7.0, None, 1.0, 0.0, 0.0, 0.0, "B1", None, None),
+        ("r3", "Seguro", "BM PENDENTE", None, d(2024, 3, 31), d(2024, 3, 1), d(2024, 3, 31),
+         60.0, 15.0, 0.0, -1.0, 0.0, -1.0, 4.0, None, None, None, "D9"),
+        ("r4", "Avarias", "FAT. PENDENTE", d(2024, 1, 1), d(2024, 1, 31), d(2024, 1, 1), d(2024, 1, 31),
+         50.0, None, None, 0.0, -3.0, 0.0, 0.0, 0.0, None, None, None),
+        ("r5", "Fretes", "BM PENDENTE", d(2024, 1, 1), d(2024, 1, 10), d(2024, 1, 1), d(2024, 1, 31),
+         -20.0, 0.0, 8.0, 0.0, 2.0, 0.0, 0.0, 1.0, None, None, None),
+    ]
+    out = {r["N. Ordem"]: r for r in priced_flow(spark.createDataFrame(data, cols)).collect()}
+    r1, r2, r3, r4, r5 = (out[k] for k in ("r1", "r2", "r3", "r4", "r5"))
+    assert (r1["Dias Utilização"], r1["Tipo Cobrança"], r1["Freq. Cobrança"]) == (27, "Proporcional Mobilização", "Recorrente")
+    assert (r1["Locação"], r1["Seguro"], r1["Desconto"], r1["Outros"], r1["Preço Final"]) == (270.0, 9.0, -4.0, 3.0, 285.0)
+    assert (r2["Tipo Cobrança"], r2["Locação"], r2["Seguro"], r2["Frete"], r2["Avaria"]) == ("Integral", 100.0, 0.0, 0.0, None)
+    assert (r2["Desconto"], r2["Outros"], r2["Bloq. Geral"], r2["Preço Final"]) == (-6.0, 1.0, "Sim", 0.0)
+    assert (r3["Dias Utilização"], r3["Tipo Cobrança"], r3["Seguro"], r3["Avaria"]) == (0, "Integral", 75.0, 0.0)
+    assert (r3["Outros"], r3["Devolução"], r3["Preço Final"]) == (4.0, "Sim", 79.0)
+    assert (r4["Freq. Cobrança"], r4["Avaria"], r4["Seguro"], r4["Frete"], r4["Desconto"]) == ("Única", 50.0, 0.0, None, -3.0)
+    assert r4["Preço Final"] == 47.0
+    assert (r5["Frete"], r5["Desconto"], r5["Outros"], r5["Preço Final"]) == (-12.0, -18.0, 2.0, -27.0)
