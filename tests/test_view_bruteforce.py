@@ -43,3 +43,66 @@ def test_rental_invoices_matches_pandas(spark):
     key = lambda df: sorted(tuple(_norm(v) for v in row) for row in df[cols].itertuples(index=False))
     assert len(got) == len(want) > 0
     assert key(got) == key(want)
+
+
+def test_asset_register_matches_pandas(spark):
+    import numpy as np
+
+    from ledgerlens.plans.catalog.views import _assets
+    from ledgerlens.sources.driver_erp import RUN_DATE
+
+    t = _erp(spark, SMOKE)
+    got = _assets(t).toPandas()
+    p = {n: t[n].toPandas() for n in ("anla", "anlc", "v_equi", "jcds", "tj30t", "iflos", "t087t")}
+    year = RUN_DATE[:4]
+
+    c = p["anlc"][(p["anlc"].afabe == "01") & (p["anlc"].gjahr == year)].copy()
+    c["k"] = c.anln1.str.strip()
+    vals = ["kansw", "knafa", "nafag", "answl"]
+    c[vals] = c[vals].apply(lambda s: pd.to_numeric(s.map(lambda v: None if v is None else float(v))))
+    sums = c.groupby("k")[vals].agg(lambda s: s.sum(min_count=1))
+    residual = sums.sum(axis=1, min_count=4).where(sums.notna().all(axis=1)).to_dict()
+
+    e = p["v_equi"].assign(o=p["v_equi"].objnr.str.strip(), key=p["v_equi"].equnr.str.strip())
+    js = p["jcds"][p["jcds"].inact.notna() & (p["jcds"].inact != "X")].assign(o=lambda d: d.objnr.str.strip(),
+                                                                              st=lambda d: d.stat.str.strip())
+    tx = p["tj30t"][(p["tj30t"].spras == "P") & (p["tj30t"].stsma.str.strip() == "ZPM_M_V")].assign(
+        st=lambda d: d.estat.str.strip())
+    st = e.merge(js[["o", "st", "udate", "utime"]], on="o").merge(tx[["st", "txt30", "txt04"]], on="st")
+    latest = {}
+    for key, g in st.groupby("key"):
+        rows = sorted(g.itertuples(index=False), key=lambda r: (
+            tuple((0, "") if pd.isna(v) else (1, _neg(v)) for v in (r.udate, r.utime, str(r.datbi))),
+            r.txt04, r.txt30, r.tplnr, r.matnr, r.baujj))
+        latest[key] = rows[0]
+
+    mains = p["anla"][p["anla"].anln2 == "0000"]
+    urwrt = {k.strip(): (None if v is None else float(v)) for k, v in zip(mains.anln1, mains.urwrt)}
+    excluded = {"00", "AD", "AG", "CB", "EI", "EL", "FE", "FO", "GD", "MP", "MT", "OP", "ON", "PÇ", "TS", "TN"}
+    texts = {}
+    for k, v in zip(p["t087t"].ord4x, p["t087t"].ordtx):
+        texts.setdefault(k, []).append(v)
+    iflos = dict(zip(p["iflos"].tplnr.str.strip(), p["iflos"].strno))
+    want = set()
+    for a in mains.itertuples(index=False):
+        if a.anln1[:2] in excluded:
+            continue
+        k, inv = a.anln1.strip(), (a.invnr.strip() if isinstance(a.invnr, str) else None)
+        s = latest.get(k)
+        imp = urwrt.get(inv) if inv else None
+        comp = a.anln1[:2] == "CM" or (isinstance(a.invnr, str) and a.invnr[:2] == "CM")
+        own = float(a.urwrt)
+        valor = own + (imp if imp is not None else 0.0) if comp else own
+        res = residual.get(k)
+        res = 0.0 if res is None or np.isnan(res) else res
+        for bu in texts.get(a.ord41, [None]):
+            want.add((k, None if s is None else s.matnr, bu, round(valor, 4), round(res, 4),
+                      None if s is None else iflos.get(s.tplnr.strip()), None if s is None else s.txt04))
+    got_set = {(r.numero_armac, r.material, r.bu, round(float(r.valor), 4), round(float(r.saldo_residual), 4),
+                r.local_instalacao, r.cod_status) for r in got.itertuples(index=False)}
+    assert got_set == want
+
+
+def _neg(v):
+    """Descending order key for ISO text (negate each character code)."""
+    return tuple(-ord(ch) for ch in str(v))
