@@ -106,3 +106,85 @@ def test_asset_register_matches_pandas(spark):
 def _neg(v):
     """Descending order key for ISO text (negate each character code)."""
     return tuple(-ord(ch) for ch in str(v))
+
+
+def test_used_sales_matches_pandas(spark):
+    from collections import Counter
+
+    from ledgerlens.plans.catalog.views import _assets
+    from ledgerlens.plans.used_sales import used_sales
+
+    t = _erp(spark, SMOKE)
+    fag_df = _assets(t)
+    got = used_sales(t["vbrp"], t["vbrk"], t["kna1"], t["tvzbt"], t["t001w"], t["cepct"], t["bseg"], fag_df,
+                     t["pm_documentos_medicao"], t["prcd_elements"], t["vbpa"], t["but000"], t["vbkd"]).toPandas()
+    names = ("vbrp", "vbrk", "kna1", "tvzbt", "t001w", "cepct", "bseg", "pm_documentos_medicao", "prcd_elements",
+             "vbpa", "but000", "vbkd")
+    p = {n: t[n].toPandas() for n in names}
+    fag = fag_df.toPandas()
+
+    def f(v):
+        return None if v is None or (isinstance(v, float) and pd.isna(v)) else float(v)
+
+    def sv(v):
+        return "" if v is None or (isinstance(v, float) and pd.isna(v)) else str(v)
+
+    items = p["vbrp"][p["vbrp"].pstyv.isin(["ZVAT", "ZDAT", "ZRAT"]) & (p["vbrp"].draft == "")]
+    heads = p["vbrk"][~p["vbrk"].fkart.isin(["S1", "S2"]) & (p["vbrk"].fksto == "")]
+    j = items.merge(heads[["vbeln", "zterm", "fkdat"]].rename(columns={"zterm": "h_zterm", "fkdat": "h_fkdat"}),
+                    on="vbeln")
+    live_cond = set(j.knumv_ana)
+    pe = p["prcd_elements"][p["prcd_elements"].kschl.isin(["ZPRJ", "ZPRL"]) & p["prcd_elements"].knumv.isin(live_cond)]
+    pe = pe.assign(kwert=pe.kwert.map(f))
+    cond = {}
+    for (kn, kp), g in pe.groupby(["knumv", "kposn"]):
+        juros = g[g.kschl == "ZPRJ"].kwert.sum(min_count=1)
+        liq = g[g.kschl == "ZPRL"].kwert.sum(min_count=1)
+        cond[(kn, kp)] = (juros, liq)
+    txt = dict(zip(p["tvzbt"][p["tvzbt"].spras == "P"].zterm, p["tvzbt"][p["tvzbt"].spras == "P"].vtext))
+    pcs = {}
+    for k, v in zip(p["cepct"].prctr, p["cepct"].ktext):
+        pcs.setdefault(k, []).append(v)
+    acc = p["bseg"][(p["bseg"].vorgn == "SD00") & (p["bseg"].buzei == "001")]
+    docs = {}
+    for k, v in zip(acc.vbeln, acc.belnr):
+        docs.setdefault(k, []).append(v)
+    pdm = p["pm_documentos_medicao"]
+    pdm = pdm[(pdm.rank_doc_medicao == "1") & (pdm.descr_ponto_medicao == "HORIMETRO ACUMULADO")]
+    meters = {}
+    for k, v in zip(pdm.n_equipamento, pdm.valor_doc_medicao):
+        meters.setdefault(k, []).append(f(v))
+    chassis = {}
+    for k, v in zip(fag.numero_armac, fag.chassi):
+        chassis.setdefault(k, []).append(v)
+    sel = p["vbpa"][p["vbpa"].parvw == "ZV"]
+    sellers = {}
+    for a, b, c in zip(sel.vbeln, sel.posnr, sel.lifnr):
+        sellers.setdefault((a, b), []).append(c)
+    bp = {r.partner: r for r in p["but000"].itertuples(index=False)}
+
+    def seller_name(lifnr):
+        r = bp.get(lifnr)
+        org = f"{sv(r.name_org1 if r else None)} {sv(r.name_org2 if r else None)}"
+        return f"{sv(r.name_first if r else None)} {sv(r.name_last if r else None)}" if org == " " else org
+
+    want = Counter()
+    for r in j.itertuples(index=False):
+        sale = r.pstyv == "ZVAT"
+        amount = f(r.kzwi1) if sale else -f(r.kzwi1)
+        juros, liq = cond.get((r.knumv_ana, r.posnr), (None, None))
+        for pc in pcs.get(r.prctr, [None]):
+            for doc in docs.get(r.vbeln, [None]):
+                for ch in chassis.get(r.charg, [None]):
+                    for m in meters.get(r.charg, [None]):
+                        for lif in sellers.get((r.aubel, r.posnr), [None]):
+                            want[(r.vbeln, r.posnr, "FATURADO" if sale else "DEVOLVIDO", amount,
+                                  0.0 if juros is None or pd.isna(juros) else juros,
+                                  0.0 if liq is None or pd.isna(liq) else liq, m, seller_name(lif), pc,
+                                  txt.get(r.h_zterm), doc, ch)] += 1
+    got_c = Counter((r[0], r[1], r[2], f(r[3]), f(r[4]), f(r[5]), f(r[6]), r[7], r[8], r[9], r[10], r[11])
+                    for r in got[["N. Fatura SAP", "N. Item", "Status", "Valor Faturado", "Preco c/ Juros",
+                                  "Preco Liquido", "Horimetro", "Vendedor", "Nome Centro de Lucro",
+                                  "Cond. Pagamento", "N. Doc Contabil", "Chassi"]].itertuples(index=False))
+    assert sum(want.values()) == len(got) > 0
+    assert got_c == want
