@@ -188,3 +188,76 @@ def test_used_sales_matches_pandas(spark):
                                   "Cond. Pagamento", "N. Doc Contabil", "Chassi"]].itertuples(index=False))
     assert sum(want.values()) == len(got) > 0
     assert got_c == want
+
+
+def test_contract_items_matches_pandas(spark):
+    from collections import Counter
+
+    from ledgerlens.plans.contract_items import contract_items
+    from ledgerlens.sources.driver_erp import RUN_DATE
+
+    t = _erp(spark, SMOKE)
+    got = contract_items(t["vbap"], t["kna1"], t["vbak"], t["vbkd"], t["zsdt0001"], t["cdhdr"], t["veda"], t["tvfst"],
+                         t["tvagt"], t["t052u"], t["t042zt"], t["vbpa"], t["but000"], t["prcd_elements"],
+                         t["ztfi_tp_ctr_real"], t["ztfi_mat_tp_cobranca"], t["zsdt001"],
+                         extracted_at=RUN_DATE + " 00:00:00").toPandas()
+    names = ("vbap", "vbak", "vbkd", "kna1", "zsdt0001", "cdhdr", "prcd_elements", "ztfi_tp_ctr_real", "vbpa", "but000")
+    p = {n: t[n].toPandas() for n in names}
+
+    def sv(v):
+        return "" if v is None or (isinstance(v, float) and pd.isna(v)) else str(v)
+
+    ctr = p["vbap"][p["vbap"].vbtyp_ana == "G"]
+    ctr = ctr[ctr.kunnr_ana.isin(set(p["kna1"].kunnr))]
+    heads = p["vbak"][p["vbak"].vbtyp == "G"]
+    ctr = ctr[ctr.vbeln.isin(set(heads.vbeln))]
+    ctr = ctr[ctr.vbeln.isin(set(p["vbkd"][p["vbkd"].posnr == "000000"].vbeln))]
+    kdgrp = dict(zip(p["vbkd"][p["vbkd"].posnr == "000000"].vbeln, p["vbkd"][p["vbkd"].posnr == "000000"].kdgrp))
+    vector = {"ZA": "Biomassa", "ZB": "Cidades Ferroviárias", "ZC": "Consórcio", "ZD": "Corporativo",
+              "ZE": "Empilhadeiras", "ZF": "Florestal & Siderurgia", "ZG": "Mineração", "ZH": "Mix de Projetos",
+              "ZI": "Rental", "ZJ": "Vale", "ZK": "Yara / VLI / Mosaic"}
+    flags = {}
+    for a, b, c, fl in zip(p["zsdt0001"].vbeln, p["zsdt0001"].posnr, p["zsdt0001"].charg, p["zsdt0001"].flag_dev):
+        flags.setdefault((a, b, c), []).append(fl)
+    last = {}
+    for r in p["cdhdr"].itertuples(index=False):
+        stamp = f"{sv(r.udate)} {sv(r.utime)}"
+        k = r.objectid[:10]
+        cand = (stamp, r.username)
+        if k not in last or (cand[0] > last[k][0]) or (cand[0] == last[k][0] and sv(cand[1]) < sv(last[k][1])):
+            last[k] = cand
+    pr = p["prcd_elements"][p["prcd_elements"].kschl == "PR00"]
+    price = {}
+    for a, b, v in zip(pr.knumv, pr.kposn, pr.kwert):
+        price[(a, b)] = price.get((a, b), 0.0) + float(v)
+    override = {}
+    for a, v in zip(p["ztfi_tp_ctr_real"].numero_contrato, p["ztfi_tp_ctr_real"].mercado_real):
+        override.setdefault(a, []).append(v)
+    order_type = {"ZVA": "SPOT - VAREJO", "ZGC": "SPOT - GRANDES CONTAS", "ZLP": "LONGO PRAZO"}
+    zv = p["vbpa"][p["vbpa"].parvw == "ZV"]
+    sellers = {}
+    for a, l in zip(zv.vbeln, zv.lifnr):
+        sellers.setdefault(a, []).append(l)
+    bp = {r.partner: r for r in p["but000"].itertuples(index=False)}
+
+    def name(l):
+        r = bp.get(l)
+        org = f"{sv(r.name_org1 if r else None)} {sv(r.name_org2 if r else None)}"
+        return f"{sv(r.name_first if r else None)} {sv(r.name_last if r else None)}" if org == " " else org
+
+    want = Counter()
+    for r in ctr.itertuples(index=False):
+        fl = flags.get((r.vbeln, r.posnr, r.charg), [None])
+        for f_ in fl:
+            status = "Devolvido" if f_ == "X" else ("Em Uso" if f_ is not None else "Não Encontrado")
+            for ov in override.get(r.vbeln, [None]):
+                tipo = ov if ov is not None or r.vbeln in override else order_type.get(r.auart_ana, "")
+                for s in sellers.get(r.vbeln, [None]):
+                    lc = last.get(r.vbeln)
+                    want[(r.vbeln, r.posnr, status, round(price.get((r.knumv_ana, r.posnr), 0.0), 4), tipo,
+                          vector.get(kdgrp.get(r.vbeln), ""), name(s), None if lc is None else lc[0])] += 1
+    got_c = Counter((a, b, c, round(float(d), 4), e, f, g, h) for a, b, c, d, e, f, g, h in got[[
+        "N. Contrato", "Item", "Status Ativo UCA", "Preco", "Tipo Contrato", "Vetor", "Vendedor",
+        "Data_Hora Modificacao"]].itertuples(index=False))
+    assert sum(want.values()) == len(got) > 0
+    assert got_c == want
