@@ -3,6 +3,8 @@ brute-force pandas evaluation of the same rules."""
 
 import pandas as pd
 
+from ledgerlens.functions import codes as K
+
 from ledgerlens.plans.catalog.views import _erp
 from ledgerlens.plans.rental_invoices import rental_invoices
 from tests.conftest import SMOKE
@@ -35,7 +37,8 @@ def test_rental_invoices_matches_pandas(spark):
     want = pd.DataFrame({
         "tipo_nfs": j.bezei, "n_contrato": j.n_contrato, "n_ordem": j.aubel, "n_fat": j.vbeln, "n_nfs": j.xblnr,
         "n_item": j.posnr, "centro_lucro": j.prctr,
-        "nome_centro_lucro": [("ARMAC - Dummy" if pc == "ARM3" else kt) for pc, kt in zip(j.prctr, j.ktext)],
+        "nome_centro_lucro": [(K.DUMMY_PROFIT_CENTRE_NAME if pc == K.DUMMY_PROFIT_CENTRE else kt)
+                              for pc, kt in zip(j.prctr, j.ktext)],
         "CNPJ_CPF": [(b if a == "" else a) for a, b in zip(j.stcd1, j.stcd2)],
         "Nome do Cliente": [f"{s(a)} {s(b)} {s(c)}" for a, b, c in zip(j.name1, j.name2, j.name3)],
     })

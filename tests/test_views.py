@@ -50,7 +50,9 @@ def test_rental_invoices(spark):
     tvakt = mk(spark, "tvakt", [dict(auart="ZSIM", spras="P", bezei="Simples"), dict(auart="ZSIM", spras="E", bezei="x")])
     cepct = mk(spark, "cepct", [dict(prctr="P1", ktext="one"), dict(prctr="P1", ktext="two")])
     out = sorted(rental_invoices(vbrp, vbrk, vbak, kna1, tvakt, cepct).collect(), key=lambda r: (r["n_fat"], r["nome_centro_lucro"] or ""))
-    assert [(r["n_fat"], r["nome_centro_lucro"]) for r in out] == [("F1", "ARMAC - Dummy"), ("F5", "one"), ("F5", "two")]
+    from ledgerlens.functions.codes import DUMMY_PROFIT_CENTRE_NAME
+    assert [(r["n_fat"], r["nome_centro_lucro"]) for r in out] == [("F1", DUMMY_PROFIT_CENTRE_NAME), ("F5", "one"),
+                                                                     ("F5", "two")]
     f1 = out[0]
     assert (f1["tipo_nfs"], f1["n_contrato"], f1["CNPJ_CPF"], f1["Nome do Cliente"]) == ("Simples", "K1", "S1", "A B ")
     assert out[1]["Nome do Cliente"] == "  " and out[1]["Cód. Cliente"] is None
