@@ -38,3 +38,15 @@ def test_entry_smoke(spark):
     assert df.count() > 0
     assert df.columns == ["a_orderkey", "b_orderkey", "b_linenumber", "a_ini", "a_fim", "b_ini", "b_fim", "h_ini",
                           "h_fim", "match_status"]
+
+
+def test_oracle_sql_reads_only_the_driver_views():
+    import re
+    allowed = {"region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
+               "embeddings", "pages", "benchmark", "labels", "conversations"}
+    for key, sql in entry.oracle_sql().items():
+        assert key in entry.queries()
+        assert "read_parquet" not in sql.lower() and "/root/" not in sql
+        tables = set(re.findall(r"\b(?:FROM|JOIN)\s+([a-z_0-9]+)", sql, flags=re.I))
+        ctes = set(re.findall(r"\b([a-z_0-9]+)\s+AS\s*\(", sql, flags=re.I))
+        assert tables - ctes <= allowed, (key, tables - ctes - allowed)
