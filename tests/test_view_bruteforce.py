@@ -264,3 +264,45 @@ def test_contract_items_matches_pandas(spark):
         "Data_Hora Modificacao"]].itertuples(index=False))
     assert sum(want.values()) == len(got) > 0
     assert got_c == want
+
+
+def test_reconciliation_stages_match_pandas(spark):
+    """V7's condition pivot (latest active price + maxima) and header billing months."""
+    import math
+
+    from ledgerlens.plans.billing_reconciliation import condition_prices, header_months
+    from ledgerlens.sources.driver_erp import RUN_DATE
+
+    t = _erp(spark, SMOKE)
+    pe = t["prcd_elements"].toPandas()
+    got = {(r.knumv, r.kposn): r for r in condition_prices(t["prcd_elements"]).collect()}
+    sel = pe[pe.kschl.isin(K.RECONCILIATION_PRICE_CODES)]
+    assert set(got) == set(zip(sel.knumv, sel.kposn))
+    for (kn, kp), g in sel.groupby(["knumv", "kposn"]):
+        r = got[(kn, kp)]
+        active = g[(g.kschl == "PR00") & g.kinak.notna() & (g.kinak != "X")]
+        if len(active):
+            top = sorted(active.itertuples(index=False),
+                         key=lambda x: ((0, "") if x.zaehk is None else (1, tuple(-ord(c) for c in x.zaehk)),
+                                        -float(x.kwert)))[0]
+            assert float(r.preco) == float(top.kwert)
+        else:
+            assert r.preco is None
+        for out, code, col in K.RECONCILIATION_MEASURES:
+            vals = [float(v) for v in g[g.kschl == code][col] if v is not None and not (isinstance(v, float) and math.isnan(v))]
+            assert (None if r[out] is None else float(r[out])) == (max(vals) if vals else None)
+
+    vbak, vbkd, fplt, t052u = (t[n].toPandas() for n in ("vbak", "vbkd", "fplt", "t052u"))
+    upper = pd.Timestamp(RUN_DATE).to_period("M").to_timestamp() + pd.DateOffset(months=2)
+    hd = vbak[vbak.vbtyp.isin(["G", "C"])].merge(vbkd[vbkd.posnr == "000000"][["vbeln", "fplnr", "zterm"]], on="vbeln")
+    hd = hd.merge(fplt, on="fplnr", how="left").merge(t052u[t052u.spras == "P"][["zterm", "text1"]], on="zterm")
+    fk = pd.to_datetime(hd.fkdat, errors="coerce")
+    hd = hd[((hd.fkdat >= "2022-01-01") & (fk < upper)) | hd.fkdat.isna()]
+    want = set()
+    for key, g in hd.groupby(["vbeln", "fkdat"], dropna=False):
+        comp = None if pd.isna(key[1]) else key[1][:8] + "01"
+        want.add((key[0], comp, min(g.nfdat) if g.nfdat.notna().any() else None))
+    got_h = {(r["N. Contrato"], r["Competencia_Cabeç"],
+              None if r["Ini_Medição_Cabeç"] is None else r["Ini_Medição_Cabeç"].isoformat())
+             for r in header_months(t["vbak"], t["vbkd"], t["fplt"], t["t052u"], RUN_DATE).collect()}
+    assert got_h == want
