@@ -306,3 +306,54 @@ def test_reconciliation_stages_match_pandas(spark):
               None if r["Ini_Medição_Cabeç"] is None else r["Ini_Medição_Cabeç"].isoformat())
              for r in header_months(t["vbak"], t["vbkd"], t["fplt"], t["t052u"], RUN_DATE).collect()}
     assert got_h == want
+
+
+def test_order_relation_and_returns_match_pandas(spark):
+    """V7's order -> contract relation (two-tier owner lookup) and return documents."""
+    from ledgerlens.plans.billing_reconciliation import order_contract, returns
+
+    t = _erp(spark, SMOKE)
+    vbak, kna1, vbkd, own = (t[n].toPandas() for n in ("vbak", "kna1", "vbkd", "fi_contrato_por_repres_fatur"))
+    owners = {}
+    for r in own.itertuples(index=False):
+        owners.setdefault(r[0], []).append(r)
+    ctr = {r.vbeln: r for r in vbak.itertuples(index=False)}
+    cust = {r.kunnr: r for r in kna1.itertuples(index=False)}
+    heads = {r.vbeln: r for r in vbkd[vbkd.posnr == "000000"].itertuples(index=False)}
+    status = {"A": "PENDENTE", "B": "EM PROCESSAMENTO", "C": "CONCLUÍDO"}
+
+    def s(v):
+        return "" if v is None or (isinstance(v, float) and pd.isna(v)) else str(v)
+
+    want = set()
+    for o in vbak[vbak.vbtyp.isin(["C", "G"])].itertuples(index=False):
+        if o.vbeln not in heads:
+            continue
+        c = ctr.get(o.vgbel)
+        k = cust.get(o.kunnr)
+        for a in owners.get(o.vbeln, [None]):
+            for b in owners.get(o.vgbel, [None]):
+                ta = None if a is None else a[1]
+                tipo = (None if b is None else b[1]) if ta in (None, "") else ta
+                resp = (None if b is None else b[2]) if (a is None or a[2] is None) else a[2]
+                cnpj = (k.stcd1 if k is not None and k.stcd1 not in (None, "") else (None if k is None else k.stcd2))
+                want.add((o.vbeln, o.vgbel, None if c is None else status.get(c.abstk, c.abstk), tipo, resp, cnpj,
+                          f"{s(None if k is None else k.name1)} {s(None if k is None else k.name2)} "
+                          f"{s(None if k is None else k.name3)}"))
+    got = {(r["n_ordens"], r["N. Contrato"], r["Status"], r["Tipo Contrato"], r["Repres. Faturam."], r["CNPJ/CPF"],
+            r["Nome Cliente"]) for r in order_contract(t["vbak"], t["kna1"], t["vbkd"],
+                                                        t["fi_contrato_por_repres_fatur"]).collect()}
+    assert got == want
+
+    vbrp, vbrk, bseg = (t[n].toPandas() for n in ("vbrp", "vbrk", "bseg"))
+    j = vbak[vbak.vbtyp == "H"].merge(vbrp[["vbeln", "aubel", "ernam", "fkdat_ana"]].rename(
+        columns={"vbeln": "inv", "ernam": "i_ernam"}), left_on="vbeln", right_on="aubel")
+    live = vbrk[(vbrk.fksto == "") & ~vbrk.fkart.isin(["S1", "S2"])]
+    j = j.merge(live[["vbeln", "erdat", "fkdat"]].rename(columns={"vbeln": "inv", "erdat": "h_erdat"}), on="inv")
+    acc = bseg[bseg.vorgn == "SD00"][["vbeln", "belnr"]].rename(columns={"vbeln": "inv"})
+    j = j.merge(acc, on="inv", how="left")
+    want_r = {(r.vgbel, r.vbeln, r.inv, r.i_ernam, None if pd.isna(r.belnr) else r.belnr, r.fkdat_ana[:8] + "01")
+              for r in j.itertuples(index=False)}
+    got_r = {(r["N. Fat. Ord"], r["N. Doc. Dev."], r["N. Fat. Dev."], r["Emissor Dev."], r["Doc. Contabil Dev."],
+              r["Mes Contabil Dev."].isoformat()) for r in returns(t["vbak"], t["vbrp"], t["vbrk"], t["bseg"]).collect()}
+    assert got_r == want_r and len(got_r) > 0
