@@ -357,3 +357,42 @@ def test_order_relation_and_returns_match_pandas(spark):
     got_r = {(r["N. Fat. Ord"], r["N. Doc. Dev."], r["N. Fat. Dev."], r["Emissor Dev."], r["Doc. Contabil Dev."],
               r["Mes Contabil Dev."].isoformat()) for r in returns(t["vbak"], t["vbrp"], t["vbrk"], t["bseg"]).collect()}
     assert got_r == want_r and len(got_r) > 0
+
+
+def test_contract_lines_match_pandas(spark):
+    """V7's contract-line months (date windows, 41-key grouping) from verified relation / price stages."""
+    from ledgerlens.plans.billing_reconciliation import (condition_prices, contract_lines, material_types,
+                                                         order_contract)
+    from ledgerlens.sources.driver_erp import RUN_DATE
+
+    t = _erp(spark, SMOKE)
+    rel = order_contract(t["vbak"], t["kna1"], t["vbkd"], t["fi_contrato_por_repres_fatur"])
+    prices = condition_prices(t["prcd_elements"])
+    got = contract_lines(t["vbap"], t["vbak"], t["fplt"], t["veda"], rel, material_types(t["ztfi_mat_tp_cobranca"]),
+                         prices, RUN_DATE).toPandas()
+    vbap, vbak, fplt = (t[n].toPandas() for n in ("vbap", "vbak", "fplt"))
+    relp = {r["n_ordens"]: r["Tipo Contrato"] for r in rel.collect()}
+    price = {(r.knumv, r.kposn): r.preco for r in prices.collect()}
+    upper = (pd.Timestamp(RUN_DATE).to_period("M").to_timestamp() + pd.DateOffset(months=2)).strftime("%Y-%m-%d")
+    j = vbap[vbap.vbtyp_ana == "G"].merge(vbak[["vbeln", "auart"]], on="vbeln").merge(
+        fplt, left_on="fplnr_ana", right_on="fplnr")
+    win = j.fkdat >= K.LINE_MONTH_FLOOR
+    for contract, lo, hi in K.LINE_EXCEPTION_WINDOWS:
+        win |= (j.fkdat >= lo) & (j.fkdat <= hi) & (j.vbeln == contract)
+    j = j[win & (j.fkdat < upper)]
+    order_type = dict(K.ORDER_TYPE_CONTRACT)
+    want = {}
+    for r in j.itertuples(index=False):
+        tipo = relp.get(r.vbeln)
+        tipo = order_type.get(r.auart, "") if tipo in (None, "") else tipo
+        p = price.get((r.knumv_ana, r.posnr))
+        k = (r.vbeln, r.posnr, r.fkdat[:8] + "01", tipo, None if p is None else float(p))
+        lo, hi = want.get(k, (r.nfdat, r.fkdat))
+        want[k] = (min(lo, r.nfdat), max(hi, r.fkdat))
+    got_d = {}
+    for r in got.itertuples(index=False):
+        k = (r[0], r[6], r[4], r[-3], None if r[13] is None else float(r[13]))
+        got_d[k] = (r[2].isoformat(), r[3].isoformat())
+    assert list(got.columns[[0, 6, 4, 13]]) == ["N. Contrato", "Item", "Competencia_Linha", "Preco_Ctr"]
+    assert got.columns[-3] == "Tipo Contrato" and len(got) == len(got_d)
+    assert got_d == want
