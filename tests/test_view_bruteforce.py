@@ -396,3 +396,52 @@ def test_contract_lines_match_pandas(spark):
     assert list(got.columns[[0, 6, 4, 13]]) == ["N. Contrato", "Item", "Competencia_Linha", "Preco_Ctr"]
     assert got.columns[-3] == "Tipo Contrato" and len(got) == len(got_d)
     assert got_d == want
+
+
+def test_order_lines_match_pandas(spark):
+    """V7's order lines: contract id chain, order status, invoice line match, profit-centre contract type."""
+    from ledgerlens.plans.billing_reconciliation import (condition_prices, header_months, invoice_lines,
+                                                         material_types, order_contract, order_lines)
+    from ledgerlens.sources.driver_erp import RUN_DATE
+
+    t = _erp(spark, SMOKE)
+    rel = order_contract(t["vbak"], t["kna1"], t["vbkd"], t["fi_contrato_por_repres_fatur"])
+    prices = condition_prices(t["prcd_elements"])
+    inv = invoice_lines(t["vbrp"], t["vbap"], t["vbrk"], t["vbfa"], prices, t["bseg"])
+    heads = header_months(t["vbak"], t["vbkd"], t["fplt"], t["t052u"], RUN_DATE)
+    got = order_lines(t["vbap"], t["vbak"], inv, t["fplt"], prices, rel, t["vbfa"], t["ztfi_prov_receita"],
+                      material_types(t["ztfi_mat_tp_cobranca"]), heads).toPandas()
+    vbap, vbak, vbfa = (t[n].toPandas() for n in ("vbap", "vbak", "vbfa"))
+    relp = {r["n_ordens"]: r for r in rel.collect()}
+    invs = {}
+    for r in inv.collect():
+        invs.setdefault((r["N. Ordem"], r["item_vbfa_inicial"]), []).append(r)
+    flows = {}
+    g = vbfa[vbfa.vbtyp_v == "G"]
+    for a, b, c in zip(g.vbeln, g.posnn, g.posnv):
+        flows.setdefault((a, b), []).append(c)
+    status = {"A": "FAT. PENDENTE", "B": "FATURADO", "C": "FATURADO"}
+    pc_map = dict(K.PROFIT_CENTRE_CHAR_MAP)
+    orders = vbap[(vbap.vbtyp_ana == "C") & vbap.pstyv.isin(K.ORDER_ITEM_CATEGORIES)]
+    orders = orders[orders.vbeln.isin(set(vbak.vbeln)) & orders.vbeln.isin(set(relp))]
+
+    def blank(v):
+        return v is None or (isinstance(v, float) and pd.isna(v)) or v == ""
+
+    want = set()
+    for o in orders.itertuples(index=False):
+        r = relp[o.vbeln]
+        for f in invs.get((o.vbeln, o.posnr), [None]):
+            fat_ctr = None if f is None else f["N. Contrato"]
+            chain = o.vgbel if not blank(o.vgbel) else (fat_ctr if not blank(fat_ctr) else r["N. Contrato"])
+            tipo = r["Tipo Contrato"]
+            if blank(tipo):
+                pc = o.prctr or ""
+                tipo = "ARM3" if "ARM3" in pc else pc_map.get(pc[3:4], "")
+            for origin in flows.get((o.vbeln, o.posnr), [None]):
+                want.add((o.vbeln, o.posnr, chain, status.get(o.fksaa, "FAT. PENDENTE"),
+                          None if f is None else f["Linha Faturamento"], origin, tipo))
+    got_s = {(r["N. Ordem"], r["item_ord"], r["N. Contrato"], r["Status"], r["Linha Faturamento"],
+              r["item_vbfa_inicio"], r["Tipo Contrato"]) for r in got.to_dict("records")}
+    got_s = {tuple(None if (isinstance(v, float) and pd.isna(v)) else v for v in x) for x in got_s}
+    assert got_s == want and len(want) > 0
