@@ -445,3 +445,42 @@ def test_order_lines_match_pandas(spark):
               r["item_vbfa_inicio"], r["Tipo Contrato"]) for r in got.to_dict("records")}
     got_s = {tuple(None if (isinstance(v, float) and pd.isna(v)) else v for v in x) for x in got_s}
     assert got_s == want and len(want) > 0
+
+
+def test_invoice_lines_match_pandas(spark):
+    """V7's invoice lines: order item match, billed header types, flow, accounting doc, line ids."""
+    from collections import Counter
+
+    from ledgerlens.plans.billing_reconciliation import condition_prices, invoice_lines
+
+    t = _erp(spark, SMOKE)
+    got = invoice_lines(t["vbrp"], t["vbap"], t["vbrk"], t["vbfa"], condition_prices(t["prcd_elements"]),
+                        t["bseg"]).toPandas()
+    vbrp, vbap, vbrk, vbfa, bseg = (t[n].toPandas() for n in ("vbrp", "vbap", "vbrk", "vbfa", "bseg"))
+    j = vbrp[vbrp.draft == ""].merge(vbap[["vbeln", "posnr", "vgbel"]].rename(
+        columns={"vbeln": "aubel", "posnr": "aupos", "vgbel": "ctr"}), on=["aubel", "aupos"])
+    billed = vbrk[vbrk.fkart.isin(K.BILLED_INVOICE_TYPES) & (vbrk.fksto == "")]
+    j = j[j.vbeln.isin(set(billed.vbeln))]
+    fl = vbfa[vbfa.vbtyp_n == "M"][["vbeln", "posnn", "posnv", "ruuid"]]
+    j = j.merge(fl, left_on=["vbeln", "posnr"], right_on=["vbeln", "posnn"], how="left")
+    acc = bseg[(bseg.vorgn == "SD00") & (bseg.buzei == "001")][["vbeln", "belnr"]]
+    j = j.merge(acc, on="vbeln", how="left")
+
+    def s(v):
+        return "" if v is None or (isinstance(v, float) and pd.isna(v)) else str(v)
+
+    natural = Counter()
+    want = Counter()
+    for r in j.itertuples(index=False):
+        nat = (r.vbeln, r.posnr, s(r.ruuid), s(r.belnr))
+        natural[nat] += 1
+        want[(r.vgbel, r.vbeln, r.ctr, None if pd.isna(r.posnv) else r.posnv, r.fkdat_ana[:8] + "01",
+              "|".join(nat))] += 1
+    got_c = Counter()
+    for r in got.to_dict("records"):
+        lid = r["Linha Faturamento"]
+        got_c[(r["N. Ordem"], r["N. Fatura"], r["N. Contrato"], r["item_vbfa_inicial"], r["Contabilidade"],
+               lid.rsplit("|", 1)[0])] += 1
+        assert 1 <= int(lid.rsplit("|", 1)[1]) <= natural[tuple(lid.rsplit("|", 1)[0].split("|"))]
+    assert got_c == want and len(got) > 0
+    assert got["Linha Faturamento"].is_unique
