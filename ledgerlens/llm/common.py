@@ -71,9 +71,20 @@ def crowded(df: DataFrame, bucket: str) -> DataFrame:
     return df.groupBy(bucket).agg(F.count(F.lit(1)).alias("__n")).filter("__n > 1").select(bucket)
 
 
+def sql_literal(value) -> str:
+    """A whole number, text or flat list/dict of these as a Spark SQL literal."""
+    if isinstance(value, dict):
+        return "map(" + ", ".join(f"{sql_literal(k)}, {sql_literal(v)}" for k, v in value.items()) + ")"
+    if isinstance(value, list):
+        return "array(" + ", ".join(map(sql_literal, value)) + ")"
+    if isinstance(value, str):
+        return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return str(int(value))
+
+
 def fixed_rows(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
-    """A small fixed table written as literals of the plan (no Python or RDD behind it)."""
-    names = [field.split()[0] for field in schema.split(", ")]
-    struct = [F.struct(*[F.lit(v).alias(n) for v, n in zip(row, names)]) for row in rows]
-    typed = F.array(*struct).cast(f"array<struct<{', '.join(f.replace(' ', ':', 1) for f in schema.split(', '))}>>")
-    return spark.range(1).select(F.inline(typed))
+    """A small fixed table as literals of the plan: no Python and no RDD behind it."""
+    names, kinds = zip(*[field.split() for field in schema.split(", ")])
+    values = ", ".join("(" + ", ".join(map(sql_literal, row)) + ")" for row in rows)
+    casts = ", ".join(f"CAST({n} AS {k}) AS {n}" for n, k in zip(names, kinds))
+    return spark.sql(f"SELECT {casts} FROM VALUES {values} AS t({', '.join(names)})")

@@ -34,7 +34,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.common import fixed_rows, whole_text
+from ledgerlens.llm.common import fixed_rows, sql_literal, whole_text
 
 # Word characters after A-Z are lower-cased; the same before.
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -140,8 +140,8 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     files = files.withColumn("spaced", spaced)
     for name, c in _base(F.col("spaced"), F.col("n_words")).items():
         files = files.withColumn(name, c)
-    weights = F.create_map(*[F.lit(x) for w in vocab for x in w])
-    mine = F.array_intersect("words", F.array(*[F.lit(w) for w, _ in vocab]))
+    weights = F.expr(sql_literal(dict(vocab)))
+    mine = F.array_intersect("words", F.expr(sql_literal([w for w, _ in vocab])))
     ranked = F.array_sort(F.transform(mine, lambda w: F.struct((-F.element_at(weights, w)).alias("weight"), w.alias("word"))))
     files = files.withColumn("heavy", F.transform(F.slice(ranked, 1, FILE_WORDS), lambda x: x["word"]))
     own = ["file", "id", "n_words", "n_base", "first_word", "last_word", "base"]
@@ -153,8 +153,8 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     sums = votes.groupBy(*own, "label", (F.col("place") - F.col("position")).cast("long").alias("start")).agg(
         F.sum("weight").alias("got"), F.sum("key").alias("key"))
     of = totals()
-    whole = F.create_map(*[F.lit(x) for label, (w, _) in of.items() for x in (label, w)])[F.col("label")]
-    need = F.create_map(*[F.lit(x) for label, (_, k) in of.items() for x in (label, k)])[F.col("label")]
+    whole = F.expr(sql_literal({label: w for label, (w, _) in of.items()}))[F.col("label")]
+    need = F.expr(sql_literal({label: k for label, (_, k) in of.items()}))[F.col("label")]
     score = F.col("got") / whole
     hit = F.when((F.col("key") == need) & (score >= LEAST_SCORE), F.struct(score.alias("score"), F.col("label"), F.col("start")))
     found = sums.groupBy(*own).agg(F.collect_list(hit).cast(found_type).alias("starts")).drop("file")
