@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import chat, exact_dedup, licences, sharding
+from ledgerlens.llm import bpe, chat, exact_dedup, langid, licences, packing, quality, sharding, token_counts
 from ledgerlens.llm.common import documents, fixed_rows
 from ledgerlens.sources.tables import read_table
 
@@ -65,3 +65,38 @@ r AS (
          first_value(doc_id) OVER (PARTITION BY h ORDER BY length(text) DESC, doc_id) AS keep_id,
          count(*) OVER (PARTITION BY h) AS n FROM t)
 SELECT doc_id, keep_id, CAST(n AS BIGINT) AS group_size, nth = 1 AS kept, h AS text_sha256 FROM r"""
+
+
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = quality.measure(documents(spark, sf_dir, "doc_id", "text"))
+    return out.withColumnRenamed("id", "doc_id")
+
+
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = token_counts.count_tokens(documents(spark, sf_dir, "doc_id", "text"), limit=4096)
+    return out.withColumnRenamed("id", "doc_id")
+
+
+HELD_OUT_FOLDS = 5
+
+
+def held_out(doc_id) -> "F.Column":
+    """Whether the id's checksum keeps the document from training (a null id counts as the empty text)."""
+    return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % HELD_OUT_FOLDS == 0
+
+
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir, "doc_id", "text", "lang")
+    model = langid.train(docs.filter(~held_out(F.col("doc_id"))))
+    out = langid.identify(docs, model).withColumnRenamed("id", "doc_id")
+    return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
+def op6_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = bpe.decode(bpe.encode(documents(spark, sf_dir, "doc_id", "text")))
+    return out.select(F.col("id").alias("doc_id"), (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+                      F.sha2("ids", 256).alias("ids_sha256"), F.sha2("text", 256).alias("decoded_sha256"))
+
+
+def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(documents(spark, sf_dir, "doc_id", "text"), limit=2048).withColumnRenamed("id", "doc_id")

@@ -6,9 +6,14 @@ from ledgerlens.llm import licences, queries
 
 QUERIES = {
     "op1_sharding": queries.op1_sharding,
+    "op3_quality_rules": queries.op3_quality_rules,
+    "op4_token_counts": queries.op4_token_counts,
+    "op5_language_id": queries.op5_language_id,
+    "op6_bpe_round_trip": queries.op6_bpe_round_trip,
     "op7_licence_scan": queries.op7_licence_scan,
     "op8_chat_format": queries.op8_chat_format,
     "op9_exact_dedup": queries.op9_exact_dedup,
+    "op10_best_fit_packing": queries.op10_best_fit_packing,
 }
 
 ORACLES = {
