@@ -88,3 +88,16 @@ def fixed_rows(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame
     values = ", ".join("(" + ", ".join(map(sql_literal, row)) + ")" for row in rows)
     casts = ", ".join(f"CAST({n} AS {k}) AS {n}" for n, k in zip(names, kinds))
     return spark.sql(f"SELECT {casts} FROM VALUES {values} AS t({', '.join(names)})")
+
+
+def equi_split(left: DataFrame, right: DataFrame, left_key: str, right_key: str, how: str) -> DataFrame:
+    """Equi join whose left side AQE can split at a hot key, though ``right`` comes grouped by its key.
+
+    A grouped side already has the key's partitioning, so Spark adds no exchange
+    that could be split beside it. A second join column, which the key determines,
+    asks for one.
+    """
+    tagged = right.withColumn("__tag", F.pmod(F.hash(right_key), F.lit(8191)))
+    match = (left[left_key] == tagged[right_key]) & (F.pmod(F.hash(left[left_key]), F.lit(8191)) == tagged["__tag"])
+    out = left.join(tagged, match, how)
+    return out if how in ("left_semi", "left_anti") else out.drop("__tag")

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import bpe, chat, exact_dedup, langid, licences, packing, quality, sharding, token_counts
+from ledgerlens.llm import (
+    bpe, chat, exact_dedup, langid, licences, ngram_join, packing, quality, sharding, token_counts)
 from ledgerlens.llm.common import documents, fixed_rows
 from ledgerlens.sources.tables import read_table
 
@@ -100,3 +101,8 @@ def op6_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(documents(spark, sf_dir, "doc_id", "text"), limit=2048).withColumnRenamed("id", "doc_id")
+
+
+def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = ngram_join.near_duplicates(documents(spark, sf_dir, "doc_id", "text"), n=3, num=90, den=100)
+    return out.withColumnRenamed("id", "doc_id")

@@ -6,6 +6,7 @@ from ledgerlens.llm import licences, queries
 
 QUERIES = {
     "op1_sharding": queries.op1_sharding,
+    "op2_ngram_jaccard_join": queries.op2_ngram_jaccard_join,
     "op3_quality_rules": queries.op3_quality_rules,
     "op4_token_counts": queries.op4_token_counts,
     "op5_language_id": queries.op5_language_id,
