@@ -220,6 +220,15 @@ def hubs_of(rows: DataFrame) -> DataFrame:
             .select("b_key", "b_size", *[F.col(f"h.{c}").alias(f"b_{c}") for c in ("cls", "n", "place", "rank")]))
 
 
+def star_labels(found: DataFrame) -> DataFrame:
+    """``node, root``: the smallest class within two links of each class. Equal roots mean one component."""
+    both = found.select(F.col("a").alias("u"), F.col("b").alias("v"))
+    both = both.unionByName(both.select(F.col("v").alias("u"), F.col("u").alias("v")))
+    near = both.groupBy(F.col("u").alias("c")).agg(F.min("v").alias("m")).select("c", F.least("c", "m").alias("m"))
+    return (equi_split(both, near, "v", "c", "inner").groupBy(F.col("u").alias("node")).agg(F.min("m").alias("m"))
+            .select("node", F.least("node", "m").alias("root")))
+
+
 def cross_pairs(rows: DataFrame, hubs: DataFrame, labels: DataFrame, num: int, den: int) -> DataFrame:
     """Pairs across labels of every shingle: rows without the hub's label against all its rows."""
     named = equi_split(rows, labels, "cls", "node", "left").withColumn("label", F.coalesce("root", "cls")).drop("node", "root")
@@ -288,9 +297,7 @@ def links(docs: DataFrame, table: DataFrame, n: int, num: int, den: int, text_co
     hubs = hubs_of(rows)
     star = hub_pairs(rows, hubs, num, den).checkpoint()
     first = verified(star, table, docs, n, num, den, text_col).checkpoint()
-    step = first.select(F.col("b").alias("node"), F.col("a").alias("root")).groupBy("node").agg(F.min("root").alias("root"))
-    onward = step.select(F.col("node").alias("root"), F.col("root").alias("beyond"))
-    labels = (step.join(onward, "root", "left").select("node", F.coalesce("beyond", "root").alias("root"))).checkpoint()
+    labels = star_labels(first).checkpoint()
     cross = cross_pairs(rows, hubs, labels, num, den).join(star, ["a", "b"], "left_anti").checkpoint()
     second = verified(cross, table, docs, n, num, den, text_col)
     return first.unionByName(second).checkpoint()
