@@ -106,3 +106,23 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = ngram_join.near_duplicates(documents(spark, sf_dir, "doc_id", "text"), n=3, num=90, den=100)
     return out.withColumnRenamed("id", "doc_id")
+
+
+OP2_SQL = """
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+shingles AS (
+  SELECT doc_id, unnest(list_distinct(CASE
+    WHEN len(w) >= 3 THEN list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])
+    WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END)) AS s FROM words),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+common AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c
+  FROM shingles x JOIN shingles y ON x.s = y.s AND x.doc_id != y.doc_id GROUP BY ALL),
+links AS (
+  SELECT a, b FROM common JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b WHERE 100 * c >= 90 * (p.n + q.n - c)),
+reach(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM documents UNION SELECT r.doc_id, l.b FROM reach r JOIN links l ON l.a = r.other)
+SELECT d.doc_id, CAST(coalesce(max(s.n), 0) AS BIGINT) AS n_shingles, min(r.other) AS component_id
+FROM documents d JOIN reach r USING (doc_id) LEFT JOIN sizes s USING (doc_id) GROUP BY d.doc_id"""

@@ -18,6 +18,7 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op2_ngram_jaccard_join": queries.OP2_SQL,
     "op7_licence_scan": licences.oracle_sql(),
     "op8_chat_format": queries.OP8_SQL,
     "op9_exact_dedup": queries.OP9_SQL,
