@@ -93,14 +93,19 @@ def in_range(point: ColumnOrName, lo: ColumnOrName, hi: ColumnOrName) -> Column:
     return (p >= col(lo)) & (p <= col(hi))
 
 
-def in_exception_windows(date_col: ColumnOrName, key_col: ColumnOrName, windows, floor) -> Column:
+def in_exception_windows(date_col: ColumnOrName, key_col: ColumnOrName, windows, floor, text: bool = False) -> Column:
     """``(key = k1 AND d BETWEEN lo1 AND hi1) OR ... OR d >= floor``.
 
     ``windows`` is a short list of ``(key, lo, hi)``; it becomes one OR
     predicate (pushed to the scan as far as Parquet statistics allow).
+    ``text`` compares ISO date text as it is stored, which keeps it pushable.
     """
-    dc, kc = to_date_col(date_col), col(key_col)
-    cond = dc >= F.lit(floor).cast("date")
+    dc, kc = col(date_col) if text else to_date_col(date_col), col(key_col)
+
+    def bound(x):
+        return F.lit(x) if text else F.lit(x).cast("date")
+
+    cond = dc >= bound(floor)
     for k, lo, hi in windows:
-        cond = cond | ((kc == F.lit(k)) & (dc >= F.lit(lo).cast("date")) & (dc <= F.lit(hi).cast("date")))
+        cond = cond | ((kc == F.lit(k)) & (dc >= bound(lo)) & (dc <= bound(hi)))
     return cond

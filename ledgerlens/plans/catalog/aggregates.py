@@ -5,7 +5,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ledgerlens.functions.dates import year_text
 from ledgerlens.operators import desc_nulls_first, latest_per_key, max_or_zero, pivot_by_key, sum_of_sums
 from ledgerlens.plans.catalog.common import AS_OF, d, dtext, money, t
 from ledgerlens.plans.registry import query
@@ -80,7 +79,10 @@ WHERE strftime(l_shipdate, '%Y') = strftime(DATE '{AS_OF}', '%Y')
 GROUP BY l_orderkey
 """)
 def residual_value(spark, sf):
-    li = t(spark, sf, "lineitem").filter(F.date_format("l_shipdate", "yyyy") == year_text(AS_OF))
+    year = F.trunc(F.lit(AS_OF).cast("date"), "YEAR")
+    shipped = F.col("l_shipdate")  # compared as it is stored, so the range reaches the scan
+    li = t(spark, sf, "lineitem").filter((shipped >= year.cast("timestamp"))
+                                         & (shipped < F.add_months(year, 12).cast("timestamp")))
     code = _code()
     terms = {c.lower(): F.when(code == c, F.col("l_extendedprice")) for c in ("AF", "NF", "RF", "NO")}
     li = li.select("l_orderkey", *[v.alias(k) for k, v in terms.items()])

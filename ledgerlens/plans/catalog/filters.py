@@ -151,9 +151,10 @@ WHERE CAST(o_orderdate AS DATE) >= DATE '1997-01-01'
   AND CAST(o_orderdate AS DATE) < date_trunc('month', DATE '{AS_OF}') + INTERVAL 2 MONTH
 """)
 def date_window(spark, sf):
-    od = d("o_orderdate")
+    # bounds are timestamps like the column, so the range reaches the scan
+    od = F.col("o_orderdate")
     return (t(spark, sf, "orders")
-            .filter((od >= F.lit("1997-01-01").cast("date")) & (od < months_ahead_start(AS_OF, 2)))
+            .filter((od >= F.lit("1997-01-01").cast("timestamp")) & (od < months_ahead_start(AS_OF, 2).cast("timestamp")))
             .select("o_orderkey", dtext("o_orderdate").alias("order_date")))
 
 

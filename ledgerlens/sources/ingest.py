@@ -1,4 +1,4 @@
-"""Ingest normalisation: trimmed keys, leniently parsed dates, reject counts."""
+"""Reject counts of leniently parsed date text."""
 
 from __future__ import annotations
 
@@ -8,27 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.functions.codes import DATE_SENTINEL
-from ledgerlens.functions.dates import parse_date, parse_date_sentinel
-
-
-def normalise(df: DataFrame, date_cols: Sequence[str] = (), trim_cols: Sequence[str] = (),
-              date_suffix: str = "") -> DataFrame:
-    """Trim key columns in place and parse ISO date text (``0000-00-00`` and bad text -> NULL).
-
-    With ``date_suffix`` the parsed date is added next to the text column;
-    without it the text column is replaced. One projection, no action.
-    """
-    exprs = []
-    for c in df.columns:
-        if c in trim_cols:
-            exprs.append(F.trim(F.col(c)).alias(c))
-        elif c in date_cols and not date_suffix:
-            exprs.append(parse_date_sentinel(c).alias(c))
-        else:
-            exprs.append(F.col(c))
-    if date_suffix:
-        exprs += [parse_date_sentinel(c).alias(c + date_suffix) for c in date_cols]
-    return df.select(*exprs)
+from ledgerlens.functions.dates import parse_date
 
 
 def date_rejects(df: DataFrame, date_cols: Sequence[str]) -> DataFrame:

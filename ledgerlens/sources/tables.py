@@ -54,11 +54,11 @@ class Tables:
 
 
 def shared_path(spark: SparkSession, *parts: str) -> str:
-    """A stable path under the shared folder named by ``spark.checkpoint.dir``.
+    """The path ``parts`` under the shared folder named by ``spark.checkpoint.dir``.
 
     The configured folder itself is used (not the per-application subfolder
-    Spark creates for RDD checkpoints), so a rerun overwrites the same tables
-    instead of leaving a new copy behind.
+    Spark creates for RDD checkpoints): a caller that gives the same parts
+    again overwrites its earlier tables, one that gives fresh parts adds to them.
     """
     from ledgerlens.session import checkpoint_dir
 
@@ -71,15 +71,3 @@ def write_read(spark: SparkSession, df: DataFrame, *parts: str) -> DataFrame:
     path = shared_path(spark, *parts)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
-
-
-def materialize(spark: SparkSession, tables: dict[str, DataFrame], name: str) -> dict[str, DataFrame]:
-    """Write each DataFrame as Parquet under the shared checkpoint folder and read it back.
-
-    Cuts the lineage of derived tables that many later stages read: each is
-    computed once, later plans start from a plain Parquet scan (with pushdown
-    and pruning), and a lost executor only recomputes from those files.
-    The folder is the one named by ``spark.checkpoint.dir`` (never a
-    machine-local temporary folder on a cluster).
-    """
-    return {tname: write_read(spark, df, name, tname) for tname, df in tables.items()}

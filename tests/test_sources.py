@@ -4,10 +4,11 @@ import datetime as dt
 import os
 import tempfile
 
+import pytest
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ledgerlens.sources.dims import cast_rejects, conform, duplicate_keys, load_dim, upsert
-from ledgerlens.sources.ingest import normalise
 from ledgerlens.sources.schemas import ERP_SCHEMAS
 from ledgerlens.sources.snapshot import read_snapshot, write_snapshot
 from tests.conftest import rows
@@ -40,12 +41,6 @@ def test_upsert_replaces_and_appends(spark):
     assert rows(upsert(base, upd, ["k"])) == [("a", 1), ("b", 20), ("c", 30)]
 
 
-def test_normalise_trims_and_parses(spark):
-    df = spark.createDataFrame([(" A1 ", "2024-01-02"), ("B", "0000-00-00")], "anln1 string, aktiv string")
-    out = normalise(df, date_cols=["aktiv"], trim_cols=["anln1"])
-    assert rows(out) == [("A1", dt.date(2024, 1, 2)), ("B", None)]
-
-
 def test_snapshot_partitions_by_as_of(spark):
     d = tempfile.mkdtemp(prefix="ll-snap-")
     path = os.path.join(d, "items")
@@ -56,3 +51,16 @@ def test_snapshot_partitions_by_as_of(spark):
     assert read_snapshot(spark, path, "2024-01-31").count() == 2
     assert read_snapshot(spark, path).count() == 2
     assert sorted(os.listdir(path))[:2] == ["_SUCCESS", "as_of=2024-01-31"] or "as_of=2024-01-31" in os.listdir(path)
+
+
+def test_document_numbers_of_any_width_differ(spark):
+    from ledgerlens.sources import driver_erp as E
+    keys = [7, 1234567, 12345678, 12345679, 999_999_999, 1_000_000_000, 10_000_000_000, 36 ** 7 - 1]
+    df = spark.createDataFrame([(k,) for k in keys], "k long")
+    out = df.select(E.contract_no(F.col("k")).alias("c"), E.order_no(F.col("k")).alias("o"),
+                    E.asset_no(F.col("k"), F.lit(3)).alias("a"), F.expr("substring(concat('F', k), 2)").cast("long").alias("back")).collect()
+    for col in ("c", "o", "a"):
+        assert len({r[col] for r in out}) == len(keys)
+    assert all(len(r["c"]) == 10 and r["c"].startswith("004") for r in out)
+    with pytest.raises(Exception, match="outside the contract number domain"):
+        spark.range(36 ** 7, 36 ** 7 + 1).select(E.contract_no(F.col("id"))).collect()
