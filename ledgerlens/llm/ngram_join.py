@@ -10,9 +10,10 @@ Two documents link when ``den * intersection >= num * union``.
    which frequent shingles come last. The counts (one byte each, on a logarithmic
    scale) are broadcast; their size is fixed.
 3. *Prefixes.* Of two sets that link, the first ``n - ceil(num * n / den) + 1``
-   shingles of each have one in common. These rows are counted per shingle
-   (map-side first) and only shared ones are kept, with each row's place in its
-   set and its rank among the set's shared prefix rows.
+   shingles of each have one in common. A first pass counts these shingles alone
+   (map-side first); a second keeps the rows of shared ones, with each row's place
+   in its set and its rank among the set's shared prefix rows. A bit filter of
+   fixed size leaves most unshared rows out before the shuffle.
 4. *Candidates.* Classes meet on a prefix shingle. The length filter and the
    positional filter (shared rows before the place, plus what the shorter rest can
    still give) are conditions of that join; pairs are then counted, and a pair
@@ -56,7 +57,8 @@ from ledgerlens.llm.shingles import mixed, shingle_sets
 from ledgerlens.session import checkpoint_dir
 
 SKETCH, CHUNK = 1 << 22, 1 << 16
-SLICE_BYTES = 2_000_000
+SLICE_BYTES = 1_000_000
+FILTER_BITS, FILTER_CHUNK = 1 << 25, 1 << 19
 SMALL = 8
 FETCH_BUCKETS = 1 << 18
 PROBES = 16
@@ -137,8 +139,13 @@ def prefix_size(n, num: int, den: int):
     return n - (num * n + den - 1) // den + 1
 
 
-def _prefixes(batches: Iterator[pa.RecordBatch], n: int, num: int, den: int, levels: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """``key, cls, n, place`` of the first shingles of each set; a set that the task has met is left out."""
+def _prefixes(batches: Iterator[pa.RecordBatch], n: int, num: int, den: int, levels: np.ndarray,
+              several: np.ndarray | None) -> Iterator[pa.RecordBatch]:
+    """``key, cls, n, place`` of the first shingles of each set; a set that the task has met is left out.
+
+    With ``several``, a bit per hashed key, rows whose bit is off are left out too;
+    without it only the keys are given.
+    """
     met: set[bytes] = set()
     for batch in batches:
         texts = text_bytes(batch.column(0))
@@ -156,6 +163,10 @@ def _prefixes(batches: Iterator[pa.RecordBatch], n: int, num: int, den: int, lev
             key = key[order]
             place = np.arange(len(key)) - np.repeat(ends - sizes, sizes)
             take = (place < prefix_size(sizes, num, den)[owner]) & fresh[owner]
+            if several is None:
+                yield record({"key": pa.array(key[take].view(np.int64))})
+                continue
+            take[take] = _bits(several, key[take])
             own = owner[take]
             data = b"".join(c or bytes(16) for c in cls)
             names = pa.FixedSizeBinaryArray.from_buffers(pa.binary(16), len(cls), [None, pa.py_buffer(data)]).cast(pa.binary())
@@ -163,14 +174,62 @@ def _prefixes(batches: Iterator[pa.RecordBatch], n: int, num: int, den: int, lev
                           "n": pa.array(sizes[own], pa.int64()), "place": pa.array(place[take], pa.int64())})
 
 
+def _bit_of(keys: np.ndarray) -> np.ndarray:
+    return (mixed(keys) & np.uint64(FILTER_BITS - 1)).astype(np.int64)
+
+
+def _bits(several: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    at = _bit_of(keys)
+    return (several[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
+
+
+def _filter_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    bits = np.zeros(FILTER_BITS, bool)
+    for batch in batches:
+        bits[_bit_of(batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64))] = True
+    packed = np.packbits(bits, bitorder="little")
+    for i in range(0, len(packed), FILTER_CHUNK):
+        own = packed[i:i + FILTER_CHUNK]
+        if own.any():
+            yield record({"chunk": pa.array([i // FILTER_CHUNK], pa.int32()), "bits": pa.array([own.tobytes()], pa.binary())})
+
+
+def _or_chunks(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    sums: dict[int, np.ndarray] = {}
+    for frame in frames:
+        for chunk, bits in frame.itertuples(index=False):
+            sums[chunk] = sums.get(chunk, 0) | np.frombuffer(bits, np.uint8)
+    if sums:
+        yield pd.DataFrame({"chunk": list(sums), "bits": [b.tobytes() for b in sums.values()]})
+
+
+def key_filter(keys: DataFrame) -> np.ndarray:
+    """A bit per hashed key, set for those of ``keys``; ``FILTER_BITS / 8`` bytes reach the driver."""
+    chunks = FILTER_BITS // 8 // FILTER_CHUNK
+    parts = keys.mapInArrow(_filter_chunks, "chunk int, bits binary")
+    out = np.zeros(FILTER_BITS // 8, np.uint8)
+    for r in parts.repartition(chunks, "chunk").mapInPandas(_or_chunks, "chunk int, bits binary").collect():
+        out[r["chunk"] * FILTER_CHUNK:(r["chunk"] + 1) * FILTER_CHUNK] = np.frombuffer(r["bits"], np.uint8)
+    return out
+
+
 def shared_prefixes(docs: DataFrame, n: int, num: int, den: int, levels, text_col: str = "text") -> DataFrame:
-    """``key, cls, n, place, rank``: prefix rows of shingles that two rows or more have; rank counts them per class."""
-    rows = docs.select(whole_text(F.col(text_col)).alias("text")).mapInArrow(
-        lambda b: _prefixes(b, n, num, den, levels.value), "key long, cls binary, n long, place long")
-    several = rows.groupBy(F.col("key").alias("several")).agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1")
-    shared = equi_split(rows, several, "key", "several", "left_semi").dropDuplicates(["key", "cls"])
-    nth = F.row_number().over(Window.partitionBy("cls").orderBy("place"))
-    return shared.withColumn("rank", nth.cast("long") - 1)
+    """``key, cls, n, place, rank``: prefix rows of shingles that two rows or more have; rank counts them per class.
+
+    A first pass counts the keys alone; the keys that several rows have are kept.
+    The second pass leaves most other rows out by a bit filter of fixed size
+    before anything is shuffled; the join with the kept keys is exact.
+    """
+    texts = docs.select(whole_text(F.col(text_col)).alias("text"))
+    counted = texts.mapInArrow(lambda b: _prefixes(b, n, num, den, levels.value, None), "key long")
+    several = (counted.groupBy("key").agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1")
+               .select(F.col("key").alias("several")).checkpoint())
+    bits = docs.sparkSession.sparkContext.broadcast(key_filter(several))
+    rows = texts.mapInArrow(lambda b: _prefixes(b, n, num, den, levels.value, bits.value),
+                            "key long, cls binary, n long, place long")
+    shared = rows.join(several, rows["key"] == several["several"], "left_semi")
+    nth = F.dense_rank().over(Window.partitionBy("cls").orderBy("place"))  # copies of a class in other tasks tie
+    return shared.withColumn("rank", nth.cast("long") - 1).dropDuplicates(["cls", "key"])
 
 
 # --- candidates
