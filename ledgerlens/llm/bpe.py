@@ -32,7 +32,7 @@ from ledgerlens.llm.pairindex import PairIndex
 from ledgerlens.llm.pieces import texts_of, worker_cache
 
 FILE = "byte_bpe_50k.json"
-SLICE_CHARS = 6_000_000
+SLICE_CHARS = 2_000_000
 _CHUNK = re.compile(r"\s*\S+|\s+", re.ASCII)
 # White space outside ASCII: texts that have it are not cut into chunks.
 _ODD_SPACE = re.compile("[\x1c-\x1f\x85\xa0  -     　]")
@@ -117,8 +117,13 @@ def vocabulary(path: str) -> Vocabulary:
     return _loaded[path]
 
 
-def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None) -> DataFrame:
-    """``id, ids``: the token ids of every text, little-endian unsigned 32-bit. A narrow step."""
+def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None,
+           decoded: bool = False) -> DataFrame:
+    """``id, ids``: the token ids of every text, little-endian unsigned 32-bit. A narrow step.
+
+    With ``decoded`` also ``text``, what the ids decode to: the round trip in one
+    worker, where ``decode`` after ``encode`` would hold two per task.
+    """
     path = path or public_tokenizers.path(FILE)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -126,14 +131,16 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path
         cache = worker_cache(("bpe", path), v.encode_chunks)
         for batch in batches:
             texts = texts_of(batch.column(1))
-            ids: list[bytes] = []
             for a, b in slices(map(len, texts), SLICE_CHARS):
-                ids += v.encode(texts[a:b], cache)
-            yield record({"id": batch.column(0), "ids": pa.array(ids, pa.binary())})
+                ids = v.encode(texts[a:b], cache)
+                out = {"id": batch.column(0).slice(a, b - a), "ids": pa.array(ids, pa.binary())}
+                if decoded:
+                    out["text"] = pa.array([v.decode(np.frombuffer(x, "<u4")) for x in ids], pa.string())
+                yield record(out)
 
     id_type = docs.select(id_col).schema[0].dataType.simpleString()
     return docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(
-        run, f"id {id_type}, ids binary")
+        run, f"id {id_type}, ids binary" + (", text string" if decoded else ""))
 
 
 def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:

@@ -94,7 +94,7 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = bpe.decode(bpe.encode(documents(spark, sf_dir, "doc_id", "text")))
+    out = bpe.encode(documents(spark, sf_dir, "doc_id", "text"), decoded=True)
     return out.select(F.col("id").alias("doc_id"), (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
                       F.sha2("ids", 256).alias("ids_sha256"), F.sha2("text", 256).alias("decoded_sha256"))
 
