@@ -43,8 +43,9 @@ from ledgerlens.llm.pairindex import PairIndex
 from ledgerlens.llm.pieces import worker_cache
 
 FILE = "word_bpe_49k.json"
-SLICE_BYTES = 6_000_000
+SLICE_BYTES = 8_000_000
 GROUP_DOCS = 8192
+CACHE_ENTRIES = 1_000_000
 # Chunks of these characters alone have a known normal form; their pre-tokens.
 _PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ]+")
 _TOKENS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
@@ -72,14 +73,24 @@ class WordVocabulary:
         self.size = max([*ids.values(), *self.special.values()]) + 1
         self.kind = "<u2" if self.size <= 1 << 16 else "<u4"
         self.index = PairIndex(rules, self.size)
+        self.marks = {m: np.array([ids[m.decode() + end]], self.kind).tobytes() for m in (b".", b",")}
         self.split_special = re.compile(b"(" + b"|".join(map(re.escape, self.special)) + b")") if self.special else None
 
-    def encode_chunks(self, chunks: list[bytes]) -> list[bytes]:
-        """Ids of each chunk (A-Z already lower-cased) as bytes of ``kind``."""
+    def encode_chunks(self, chunks: list[bytes], known: dict[bytes, bytes] | None = None) -> list[bytes]:
+        """Ids of each chunk (A-Z already lower-cased) as bytes of ``kind``.
+
+        A chunk that is a ``known`` one with a full stop or comma after a letter
+        has that one's ids and the mark's: the mark is a pre-token of its own.
+        """
         out: list[bytes | None] = [None] * len(chunks)
         tokens: list[tuple[int, list[str]]] = []
         odd = []
         for i, chunk in enumerate(chunks):
+            if known and chunk[-1:] in self.marks and chunk[-2:-1].isalpha():
+                core = known.get(chunk[:-1])
+                if core is not None:
+                    out[i] = core + self.marks[chunk[-1:]]
+                    continue
             text = chunk.decode("utf-8", "replace")
             if _PLAIN.fullmatch(text):
                 tokens.append((i, _TOKENS.findall(text.lower())))
@@ -145,7 +156,7 @@ def pieces_of(docs: DataFrame, limit: int, id_col: str = "doc_id", text_col: str
         from pyspark import TaskContext
 
         v = vocabulary(path)
-        cache = worker_cache(("words", path), v.encode_chunks)
+        cache = worker_cache(("words", path), lambda chunks: v.encode_chunks(chunks, cache.kept), CACHE_ENTRIES)
         end = np.array([separator], v.kind).tobytes()
         width = np.dtype(v.kind).itemsize
         deal = TaskContext.get().partitionId()

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable, Iterable
+from itertools import islice
 
 import public_tokenizers
 import sentencepiece
@@ -61,26 +62,25 @@ class Cache:
         found = list(map(self.kept.get, keys))
         if None not in found:
             return found
-        places = [i for i, v in enumerate(found) if v is None]
-        missing = list(dict.fromkeys(keys[i] for i in places))
-        fresh = dict(zip(missing, self.compute(missing)))
-        for i in places:
-            found[i] = fresh[keys[i]]
+        fresh = dict.fromkeys([k for k, v in zip(keys, found) if v is None])
+        missing = list(fresh)
+        fresh.update(zip(missing, self.compute(missing)))
+        found = [fresh[k] if v is None else v for k, v in zip(keys, found)]
         if len(self.kept) + len(fresh) > self.entries:
             self.kept.clear()
-        for k, v in fresh.items():
-            if len(k) <= LONG_KEY and len(self.kept) < self.entries:
-                self.kept[k] = v
+        if len(fresh) > self.entries or max(map(len, missing)) > LONG_KEY:
+            fresh = dict(islice(((k, v) for k, v in fresh.items() if len(k) <= LONG_KEY), self.entries))
+        self.kept.update(fresh)
         return found
 
 
 _caches: dict[tuple, Cache] = {}
 
 
-def worker_cache(name: tuple, compute: Callable[[list[str]], list]) -> Cache:
+def worker_cache(name: tuple, compute: Callable[[list[str]], list], entries: int = CACHE_ENTRIES) -> Cache:
     """The process's cache of that name: it lives on while the worker runs task after task."""
     if name not in _caches:
-        _caches[name] = Cache(compute)
+        _caches[name] = Cache(compute, entries)
     return _caches[name]
 
 
