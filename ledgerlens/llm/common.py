@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
@@ -10,6 +11,8 @@ from pyspark.sql import functions as F
 
 from ledgerlens.sources.tables import read_table
 
+_LIBC = ctypes.CDLL(None)
+
 # The white space that separates words, [\x20\x09-\x0D].
 WHITE = " \t\n\x0b\x0c\r"
 WHITE_BYTES = bytes(WHITE, "ascii")
@@ -48,7 +51,8 @@ def record(arrays: dict[str, pa.Array]) -> pa.RecordBatch:
 def slices(lengths: Iterable[int], most: int) -> Iterator[tuple[int, int]]:
     """Row ranges whose summed length stays near ``most``: bounds the memory of one numpy step.
 
-    A single longer text forms a range of its own; it is not cut.
+    A single longer text forms a range of its own; it is not cut. After the last
+    range, freed memory goes back to the system (``release``).
     """
     lo = total = 0
     n = -1
@@ -59,6 +63,15 @@ def slices(lengths: Iterable[int], most: int) -> Iterator[tuple[int, int]]:
         total += size
     if n >= 0:
         yield lo, n + 1
+    release()
+
+
+def release() -> None:
+    """Give freed memory back: workers are reused, and what one stage held would count against the next."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(_LIBC, "malloc_trim", None)
+    if trim:
+        trim(0)
 
 
 def text_bytes(column: pa.Array) -> list[bytes]:
@@ -101,3 +114,18 @@ def equi_split(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
     match = (left[left_key] == tagged[right_key]) & (F.pmod(F.hash(left[left_key]), F.lit(8191)) == tagged["__tag"])
     out = left.join(tagged, match, how)
     return out if how in ("left_semi", "left_anti") else out.drop("__tag")
+
+
+ASK_BUCKETS = 1 << 18
+
+
+def split_by_ids(docs: DataFrame, id_col: str, ids: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows that may carry one of ``ids`` (one column), and rows that carry none of them.
+
+    The broadcast holds id buckets, at most ``ASK_BUCKETS`` of them. An exact join
+    is still due on the first part, but the second, mostly far larger, is not shuffled.
+    """
+    own = ids.columns[0]
+    asked = F.broadcast(ids.select(F.pmod(F.xxhash64(own), F.lit(ASK_BUCKETS)).alias("__asked")).distinct())
+    match = F.pmod(F.xxhash64(docs[id_col]), F.lit(ASK_BUCKETS)) == asked["__asked"]
+    return docs.join(asked, match, "left_semi"), docs.join(asked, match, "left_anti")

@@ -26,7 +26,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.common import WHITE, crowded, whole_text
+from ledgerlens.llm.common import WHITE, crowded, equi_split, split_by_ids, whole_text
+from ledgerlens.session import checkpoint_dir
 
 LENGTH_BUCKETS = 1 << 18
 PREFIX_BUCKETS = 1 << 20
@@ -75,7 +76,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     best = F.struct((-F.col("n_points")).alias("shortest"), F.col("id").isNull().alias("no_id"), F.col("id").alias("keep_id"))
     groups = (same.filter("shared").groupBy(F.col("full").alias("g_full"))
               .agg(F.sum("copies").alias("size"), F.min(best).alias("best")).filter("size > 1"))
-    joined = same.join(groups, same["full"] == groups["g_full"], "left")
+    joined = equi_split(same, groups, "full", "g_full", "left")  # a hot text's rows can be split
     chosen = F.col("best.keep_id").eqNullSafe(F.col("id")) & (F.col("best.shortest") == -F.col("n_points"))
     alone = F.col("g_full").isNull()
     return (joined.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
@@ -89,11 +90,20 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows that stay, with all their columns: one per group of equal texts.
 
-    Decisions are made on ids and hashes; texts move once, in the semi join that
-    picks the rows. Of rows repeated with one id and text, one stays.
+    Decisions are made on ids and hashes. Rows whose id is not among those of
+    dropped rows stay where they are; the others are shuffled once, by id and
+    hash, to pick the ones that stay. Of rows repeated with one id and text, one stays.
     """
-    kept = (exact_dedup(docs, id_col, text_col, digest=True).filter("kept")
-            .select(F.col("id").alias("__keep_id"), F.col("full").alias("__keep_full")))
-    tagged = docs.withColumn("__full", F.sha2(normalised(F.col(text_col)), 256))
-    match = tagged[id_col].eqNullSafe(kept["__keep_id"]) & (tagged["__full"] == kept["__keep_full"])
-    return tagged.join(kept, match, "left_semi").dropDuplicates([id_col, "__full"]).drop("__full")
+    checkpoint_dir(docs.sparkSession)
+    found = exact_dedup(docs, id_col, text_col, digest=True).select("id", "kept", "full").checkpoint()
+    asked, rest = split_by_ids(docs, id_col, found.filter(~F.col("kept")).select("id"))
+    name, known = "__id", "__has_id"
+    kept = found.filter("kept").select(*_named(F.col("id"), name, known), F.col("full").alias("__full"))
+    tagged = asked.select("*", *_named(F.col(id_col), name, known), F.sha2(normalised(F.col(text_col)), 256).alias("__full"))
+    keys = [name, known, "__full"]
+    return tagged.join(kept, keys, "left_semi").select(*tagged.columns).dropDuplicates(keys).drop(*keys).unionByName(rest)
+
+
+def _named(id_: Column, name: str, known: str) -> list[Column]:
+    """An id as two columns without nulls, for joining and grouping alike."""
+    return [F.coalesce(id_.cast("string"), F.lit("")).alias(name), id_.isNotNull().alias(known)]

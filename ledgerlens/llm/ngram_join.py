@@ -47,11 +47,10 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
-from ledgerlens.llm.common import equi_split, record, shuffle_width, slices, text_bytes, whole_text
+from ledgerlens.llm.common import equi_split, record, slices, split_by_ids, text_bytes, whole_text
 from ledgerlens.llm.components import components
 from ledgerlens.llm.shingles import mixed, shingle_sets
 from ledgerlens.session import checkpoint_dir
@@ -383,5 +382,6 @@ def keep_representatives(docs: DataFrame, n: int = 5, num: int = 80, den: int =
     Rows that share that id are one document and stay together; run exact dedup first.
     """
     found = near_duplicates(docs, n, num, den, id_col, text_col)
-    gone = found.filter(~F.col("id").eqNullSafe(F.col("component_id"))).select(F.col("id").alias("__gone")).distinct()
-    return docs.join(gone, docs[id_col].eqNullSafe(gone["__gone"]), "left_anti")
+    gone = found.filter(~F.col("id").eqNullSafe(F.col("component_id"))).select(F.col("id").alias("__gone")).distinct().checkpoint()
+    asked, rest = split_by_ids(docs, id_col, gone)
+    return asked.join(gone, asked[id_col].eqNullSafe(gone["__gone"]), "left_anti").unionByName(rest)

@@ -43,9 +43,9 @@ from ledgerlens.llm.pairindex import PairIndex
 from ledgerlens.llm.pieces import worker_cache
 
 FILE = "word_bpe_49k.json"
-SLICE_BYTES = 8_000_000
+SLICE_BYTES = 6_000_000
 GROUP_DOCS = 8192
-CACHE_ENTRIES = 1_000_000
+CACHE_ENTRIES = 800_000
 # Chunks of these characters alone have a known normal form; their pre-tokens.
 _PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ]+")
 _TOKENS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")

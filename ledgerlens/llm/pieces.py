@@ -78,8 +78,12 @@ _caches: dict[tuple, Cache] = {}
 
 
 def worker_cache(name: tuple, compute: Callable[[list[str]], list], entries: int = CACHE_ENTRIES) -> Cache:
-    """The process's cache of that name: it lives on while the worker runs task after task."""
+    """The process's cache of that name: it lives on while the worker runs task after task.
+
+    A worker that turns to another operator drops the former one's cache.
+    """
     if name not in _caches:
+        _caches.clear()
         _caches[name] = Cache(compute, entries)
     return _caches[name]
 
