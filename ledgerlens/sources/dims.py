@@ -14,13 +14,40 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
 
+SYNTAX_COLUMN = "__row_text"
+
+
+def parse_rows(lines: DataFrame, schema: StructType, line_col: str = "value") -> DataFrame:
+    """CSV lines as text columns named by ``schema``, and ``SYNTAX_COLUMN``.
+
+    That column holds the line where it does not have exactly the declared
+    fields (too few, too many, an open quote) and is NULL for a good row, so a
+    bad row is neither padded nor cut unnoticed.
+    """
+    fields = ", ".join(f"`{f.name}` STRING" for f in schema.fields)
+    row = F.from_csv(F.col(line_col), f"{fields}, `{SYNTAX_COLUMN}` STRING",
+                     {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": SYNTAX_COLUMN})
+    return lines.select(row.alias("r")).select("r.*")
+
+
+def syntax_rejects(raw: DataFrame) -> DataFrame:
+    """The lines that are not rows of the declared shape."""
+    return raw.filter(F.col(SYNTAX_COLUMN).isNotNull()).select(F.col(SYNTAX_COLUMN).alias("row_text"))
+
+
 def load_dim(spark: SparkSession, path: str, schema: StructType, fmt: str = "csv", header: bool = True) -> DataFrame:
-    """Read a dimension file as text columns named by ``schema`` (validated by ``conform``)."""
-    text_schema = StructType([f.__class__(f.name, StringType(), True) for f in schema.fields])
-    reader = spark.read.schema(text_schema)
+    """Read a dimension file as text columns named by ``schema`` (validated by ``conform``).
+
+    CSV rows that do not have the declared fields raise no error and lose no
+    text: they come with ``SYNTAX_COLUMN`` set (``syntax_rejects``). A quoted field
+    may not span lines.
+    """
     if fmt == "csv":
-        return reader.option("header", header).option("mode", "PERMISSIVE").csv(path)
-    return reader.format(fmt).load(path)
+        names = F.lit(",".join(f.name for f in schema.fields))
+        lines = spark.read.text(path).filter(F.length(F.trim("value")) > 0)
+        return parse_rows(lines.filter(F.col("value") != names) if header else lines, schema)
+    text_schema = StructType([f.__class__(f.name, StringType(), True) for f in schema.fields])
+    return spark.read.schema(text_schema).format(fmt).load(path)
 
 
 def conform(df: DataFrame, schema: StructType, trim: bool = True) -> DataFrame:

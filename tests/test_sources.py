@@ -64,3 +64,14 @@ def test_document_numbers_of_any_width_differ(spark):
     assert all(len(r["c"]) == 10 and r["c"].startswith("004") for r in out)
     with pytest.raises(Exception, match="outside the contract number domain"):
         spark.range(36 ** 7, 36 ** 7 + 1).select(E.contract_no(F.col("id"))).collect()
+
+
+def test_malformed_rows_are_reported(spark, tmp_path):
+    from ledgerlens.sources.dims import syntax_rejects
+    f = tmp_path / "dim.csv"
+    f.write_text("k,n,label\nk1,1,\"a, b\"\nk2,2,c,LOST\nk3\n\nk4,4,\n")
+    schema = StructType.fromDDL("k string, n int, label string")
+    raw = load_dim(spark, str(f), schema)
+    assert [r["row_text"] for r in syntax_rejects(raw).orderBy("row_text").collect()] == ["k2,2,c,LOST", "k3"]
+    good = conform(raw.filter("__row_text is null"), schema)
+    assert rows(good) == [("k1", 1, "a, b"), ("k4", 4, None)]
