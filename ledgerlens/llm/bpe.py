@@ -127,8 +127,8 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path
     path = path or public_tokenizers.path(FILE)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cache = worker_cache(("bpe", path), lambda: vocabulary(path).encode_chunks)
         v = vocabulary(path)
-        cache = worker_cache(("bpe", path), v.encode_chunks)
         for batch in batches:
             texts = texts_of(batch.column(1))
             for a, b in slices(map(len, texts), SLICE_CHARS):

@@ -52,6 +52,7 @@ from pyspark.sql import functions as F
 
 from ledgerlens.llm.common import equi_split, record, slices, split_by_ids, text_bytes, whole_text
 from ledgerlens.llm.components import components
+from ledgerlens.llm.pieces import forget
 from ledgerlens.llm.shingles import mixed, shingle_sets
 from ledgerlens.session import checkpoint_dir
 
@@ -75,6 +76,7 @@ def digests(grams: np.ndarray, ends: np.ndarray) -> tuple[list[bytes | None], np
 
 
 def _classes(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatch]:
+    forget()
     for batch in batches:
         texts = text_bytes(batch.column(2))
         for a, b in slices(map(len, texts), SLICE_BYTES):
@@ -94,7 +96,8 @@ def classes(docs: DataFrame, n: int, id_col: str = "doc_id", text_col: str = "te
 # --- rare-first order
 
 def _sketch(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatch]:
-    counts = np.zeros(SKETCH, np.int64)
+    forget()
+    counts = np.zeros(SKETCH, np.uint32)
     for batch in batches:
         texts = text_bytes(batch.column(0))
         for a, b in slices(map(len, texts), SLICE_BYTES):

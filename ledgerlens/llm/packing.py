@@ -28,7 +28,7 @@ import json
 import os
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -43,9 +43,9 @@ from ledgerlens.llm.pairindex import PairIndex
 from ledgerlens.llm.pieces import worker_cache
 
 FILE = "word_bpe_49k.json"
-SLICE_BYTES = 6_000_000
+SLICE_BYTES = 4_000_000
 GROUP_DOCS = 8192
-CACHE_ENTRIES = 800_000
+CACHE_ENTRIES = 600_000
 # Chunks of these characters alone have a known normal form; their pre-tokens.
 _PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ]+")
 _TOKENS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
@@ -55,10 +55,7 @@ class WordVocabulary:
     """Ids of white-space chunks under a lower-casing word-end BPE file."""
 
     def __init__(self, path: str):
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
-
-        self.library = Tokenizer.from_file(path)
+        self.path, self.library = path, None
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         ids, end = spec["model"]["vocab"], spec["model"]["end_of_word_suffix"]
@@ -76,38 +73,57 @@ class WordVocabulary:
         self.marks = {m: np.array([ids[m.decode() + end]], self.kind).tobytes() for m in (b".", b",")}
         self.split_special = re.compile(b"(" + b"|".join(map(re.escape, self.special)) + b")") if self.special else None
 
-    def encode_chunks(self, chunks: list[bytes], known: dict[bytes, bytes] | None = None) -> list[bytes]:
+    def _library(self):
+        """The library's tokenizer, loaded when the first odd chunk comes."""
+        if self.library is None:
+            os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+            from tokenizers import Tokenizer
+
+            self.library = Tokenizer.from_file(self.path)
+        return self.library
+
+    def encode_chunks(self, chunks: list[bytes], known: Callable[[bytes], bytes | None] | None = None) -> list[bytes]:
         """Ids of each chunk (A-Z already lower-cased) as bytes of ``kind``.
 
         A chunk that is a ``known`` one with a full stop or comma after a letter
         has that one's ids and the mark's: the mark is a pre-token of its own.
         """
         out: list[bytes | None] = [None] * len(chunks)
-        tokens: list[tuple[int, list[str]]] = []
+        letters: list[int] = []  # chunks of ASCII letters alone: one pre-token
+        tokens: list[tuple[int, list[bytes]]] = []
         odd = []
         for i, chunk in enumerate(chunks):
-            if known and chunk[-1:] in self.marks and chunk[-2:-1].isalpha():
-                core = known.get(chunk[:-1])
+            if chunk.isalpha():
+                letters.append(i)
+                continue
+            mark = chunk[-1:]
+            if mark in self.marks and chunk[-2:-1].isalpha():
+                core = known(chunk[:-1]) if known else None
                 if core is not None:
-                    out[i] = core + self.marks[chunk[-1:]]
+                    out[i] = core + self.marks[mark]
+                    continue
+                if chunk[:-1].isalpha():
+                    tokens.append((i, [chunk[:-1], mark]))
                     continue
             text = chunk.decode("utf-8", "replace")
             if _PLAIN.fullmatch(text):
-                tokens.append((i, _TOKENS.findall(text.lower())))
+                tokens.append((i, [t.encode() for t in _TOKENS.findall(text.lower())]))
             else:
                 odd.append((i, text))
-        words = [w.encode() for w in dict.fromkeys(t for _, own in tokens for t in own)]
+        words = list(dict.fromkeys([*(chunks[i] for i in letters), *(t for _, own in tokens for t in own)]))
         if words:
             data = np.frombuffer(b"".join(words), np.uint8)
             sizes = np.fromiter(map(len, words), np.int64, len(words))
             symbols = self.inner[data]
             ends = np.cumsum(sizes) - 1
             symbols[ends] = self.last[data[ends]]
-            of = dict(zip((w.decode() for w in words), self.index.encode(symbols, sizes, self.kind)))
+            of = dict(zip(words, self.index.encode(symbols, sizes, self.kind)))
+            for i in letters:
+                out[i] = of[chunks[i]]
             for i, own in tokens:
                 out[i] = b"".join([of[t] for t in own])
         if odd:
-            got = self.library.encode_batch([t for _, t in odd], add_special_tokens=False)
+            got = self._library().encode_batch([t for _, t in odd], add_special_tokens=False)
             for (i, _), e in zip(odd, got):
                 out[i] = np.array(e.ids, self.kind).tobytes()
         return out
@@ -155,8 +171,9 @@ def pieces_of(docs: DataFrame, limit: int, id_col: str = "doc_id", text_col: str
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
+        cache = worker_cache(("words", path), lambda: lambda chunks: vocabulary(path).encode_chunks(chunks, cache.get),
+                             CACHE_ENTRIES)
         v = vocabulary(path)
-        cache = worker_cache(("words", path), lambda chunks: v.encode_chunks(chunks, cache.kept), CACHE_ENTRIES)
         end = np.array([separator], v.kind).tobytes()
         width = np.dtype(v.kind).itemsize
         deal = TaskContext.get().partitionId()

@@ -16,8 +16,10 @@ from itertools import islice
 import public_tokenizers
 import sentencepiece
 
+from ledgerlens.llm.common import release
+
 MODEL = "piece_bpe_32k.model"
-CACHE_ENTRIES = 300_000
+CACHE_ENTRIES = 400_000
 LONG_KEY = 64
 _RUNS = re.compile(r" +[^ ]*(?: +\Z)?")
 _models: dict[str, sentencepiece.SentencePieceProcessor] = {}
@@ -50,43 +52,63 @@ def segments(text: str) -> list[str]:
 
 
 class Cache:
-    """Values of segment keys; misses are computed together, long keys are not kept.
+    """Values of keys; misses are computed together, long keys are not kept.
 
-    It holds at most ``CACHE_ENTRIES`` keys and starts afresh when it is full.
+    Two generations of at most half of ``entries`` keys each: a full young one
+    becomes the old one, and keys of the old one that are asked for again move up.
+    So memory is bounded and frequent keys stay.
     """
 
-    def __init__(self, compute: Callable[[list[str]], list], entries: int = CACHE_ENTRIES):
-        self.compute, self.entries, self.kept = compute, entries, {}
+    def __init__(self, compute: Callable[[list], list], entries: int = CACHE_ENTRIES):
+        self.compute, self.half, self.young, self.old = compute, max(1, entries // 2), {}, {}
+
+    def get(self, key):
+        """The kept value of a key, or None."""
+        value = self.young.get(key)
+        return self.old.get(key) if value is None else value
 
-    def values(self, keys: list[str]) -> list:
-        found = list(map(self.kept.get, keys))
+    def values(self, keys: list) -> list:
+        found = list(map(self.young.get, keys))
         if None not in found:
             return found
         fresh = dict.fromkeys([k for k, v in zip(keys, found) if v is None])
-        missing = list(fresh)
-        fresh.update(zip(missing, self.compute(missing)))
+        if self.old:
+            fresh.update({k: self.old.get(k) for k in fresh})
+        missing = [k for k, v in fresh.items() if v is None]
+        if missing:
+            fresh.update(zip(missing, self.compute(missing)))
         found = [fresh[k] if v is None else v for k, v in zip(keys, found)]
-        if len(self.kept) + len(fresh) > self.entries:
-            self.kept.clear()
-        if len(fresh) > self.entries or max(map(len, missing)) > LONG_KEY:
-            fresh = dict(islice(((k, v) for k, v in fresh.items() if len(k) <= LONG_KEY), self.entries))
-        self.kept.update(fresh)
+        if len(self.young) + len(fresh) > self.half:
+            self.old, self.young = self.young, {}
+        if len(fresh) > self.half or max(map(len, fresh)) > LONG_KEY:
+            fresh = dict(islice(((k, v) for k, v in fresh.items() if len(k) <= LONG_KEY), self.half))
+        self.young.update(fresh)
         return found
 
 
 _caches: dict[tuple, Cache] = {}
 
 
-def worker_cache(name: tuple, compute: Callable[[list[str]], list], entries: int = CACHE_ENTRIES) -> Cache:
+def worker_cache(name: tuple, make: Callable[[], Callable[[list], list]], entries: int = CACHE_ENTRIES) -> Cache:
     """The process's cache of that name: it lives on while the worker runs task after task.
 
-    A worker that turns to another operator drops the former one's cache.
+    A worker that turns to another operator drops the former one's cache before
+    ``make`` loads what the new one computes with.
     """
     if name not in _caches:
-        _caches.clear()
-        _caches[name] = Cache(compute, entries)
+        forget()
+        cache = Cache(lambda keys: [], entries)
+        cache.compute = make()
+        _caches[name] = cache
     return _caches[name]
 
 
+def forget() -> None:
+    """Drop the worker's cache, for operators that have none."""
+    if _caches:
+        _caches.clear()
+        release()
+
+
 def texts_of(column) -> Iterable[str]:
     return [t or "" for t in column.to_pylist()]

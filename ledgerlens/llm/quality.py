@@ -132,7 +132,7 @@ class Fertility:
         self.kind = "<u2" if size <= 1 << 16 else "<u4"
         white = {f"<0x{b:02X}>" for b in WHITE.encode()}
         self.fallback = np.array([self.model.is_byte(i) and self.model.id_to_piece(i) not in white for i in range(size)])
-        self.cache = pieces.worker_cache(("ids", path), self._encode)
+        self.cache = pieces.worker_cache(("ids", path), lambda: self._encode)
 
     def _encode(self, keys: list[str]) -> list[bytes]:
         return [np.array(ids, self.kind).tobytes() for ids in self.model.encode(keys, num_threads=1)]

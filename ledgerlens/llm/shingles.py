@@ -19,7 +19,7 @@ _powers: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 def _table(n: int) -> list[np.ndarray]:
     """Powers of BASE and of its inverse modulo 2**64, at least ``n`` of each."""
     if len(_powers[0]) < n:
-        size = max(n, 2 * len(_powers[0]))
+        size = -(-n // 65536) * 65536
         inverse = pow(BASE, -1, 1 << 64)
         for i, b in enumerate((BASE, inverse)):
             factors = np.full(size, b, np.uint64)

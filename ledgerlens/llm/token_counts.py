@@ -99,7 +99,7 @@ def count_tokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = pieces.model(path)
-        cache = pieces.worker_cache(("lengths", path), lambda keys: list(map(len, m.encode(keys, num_threads=1))))
+        cache = pieces.worker_cache(("lengths", path), lambda: lambda keys: list(map(len, m.encode(keys, num_threads=1))))
         table = _unpacked(shared.id if hasattr(shared, "id") else id(shared), shared.value)
         for batch in batches:
             texts = pieces.texts_of(batch.column(1))
