@@ -27,7 +27,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.common import record, slices
+from ledgerlens.llm.common import record, slices, small_batches
 from ledgerlens.llm.pairindex import PairIndex
 from ledgerlens.llm.pieces import texts_of, worker_cache
 
@@ -124,6 +124,7 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path
     With ``decoded`` also ``text``, what the ids decode to: the round trip in one
     worker, where ``decode`` after ``encode`` would hold two per task.
     """
+    small_batches(docs)
     path = path or public_tokenizers.path(FILE)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -145,6 +146,7 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path
 
 def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:
     """``id, ids, text`` of ``id, ids``: special tokens are written out."""
+    small_batches(encoded)
     path = path or public_tokenizers.path(FILE)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.common import record, shuffle_width
+from ledgerlens.llm.common import record, shuffle_width, small_batches
 
 TURN, BODY, END = "<|turn|>", "<|text|>", "<|end|>"
 PIECE = re.compile(r"<\|turn\|>(.*?)<\|text\|>(.*?)<\|end\|>", re.S)
@@ -178,6 +178,7 @@ def format_turns(turns: DataFrame, conv: str = "conv_id", turn: str = "turn", ro
     part. Loss spans are code point ranges of the piece. ``position`` orders turns
     that share a number.
     """
+    small_batches(turns)
     given = F.col(parts) if parts else text_parts(F.col(text))
     rows = turns.select(F.col(conv).cast("long").alias("conv"), F.col(turn).cast("long").alias("turn"),
                         F.coalesce(F.col(role), F.lit("")).alias("role"), given.alias("parts"))

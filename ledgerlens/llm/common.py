@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import ctypes
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -39,9 +39,18 @@ def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def map_arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterable[pa.RecordBatch]], schema: str) -> DataFrame:
-    """``mapInArrow`` under a short name: a narrow step, batch by batch, nothing kept of a partition."""
-    return df.mapInArrow(fn, schema)
+BATCH_ROWS, DEFAULT_BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", "10000"
+
+
+def small_batches(df: DataFrame) -> None:
+    """Smaller Arrow batches for long texts, unless the session was given a size of its own.
+
+    A batch is held in the executor and twice in its worker; 10,000 documents are
+    far more than a step needs at once.
+    """
+    spark = df.sparkSession
+    if spark.conf.get(BATCH_ROWS) == DEFAULT_BATCH_ROWS:
+        spark.conf.set(BATCH_ROWS, "2000")
 
 
 def record(arrays: dict[str, pa.Array]) -> pa.RecordBatch:

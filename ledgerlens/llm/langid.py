@@ -28,7 +28,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.common import record, slices
+from ledgerlens.llm.common import record, slices, small_batches
 from ledgerlens.llm.pieces import texts_of
 
 BUCKETS, ORDERS, CHUNKS = 1 << 16, (2, 3), 16
@@ -130,6 +130,7 @@ class Model:
 
 def train(labelled: DataFrame, lang_col: str = "lang", text_col: str = "text") -> Model:
     """The model of all rows with a language and a text."""
+    small_batches(labelled)
     rows = labelled.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"))
     parts = rows.filter(F.col("lang").isNotNull() & F.col("text").isNotNull()).mapInArrow(_count, PARTIAL)
     sums = parts.repartition(CHUNKS, "lang", "chunk").mapInPandas(_sum, PARTIAL).collect()
@@ -145,6 +146,7 @@ def train(labelled: DataFrame, lang_col: str = "lang", text_col: str = "text") -
 
 def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id, lang_pred, score`` per row. A narrow step."""
+    small_batches(docs)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -165,6 +167,7 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
 
 def keep_known(docs: DataFrame, model: Model, least_score: float = 0.5, text_col: str = "text") -> DataFrame:
     """The rows whose language is told with at least ``least_score``, all columns unchanged. A narrow step."""
+    small_batches(docs)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     place = docs.columns.index(text_col)
 

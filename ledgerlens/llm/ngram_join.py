@@ -50,7 +50,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.common import equi_split, record, slices, split_by_ids, text_bytes, whole_text
+from ledgerlens.llm.common import equi_split, record, slices, small_batches, split_by_ids, text_bytes, whole_text
 from ledgerlens.llm.components import components
 from ledgerlens.llm.pieces import forget
 from ledgerlens.llm.shingles import mixed, shingle_sets
@@ -87,6 +87,7 @@ def _classes(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBat
 
 def classes(docs: DataFrame, n: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id, hash, cls, n`` per row: the text's 64-bit hash, its set's digest and size. A narrow step."""
+    small_batches(docs)
     text = whole_text(F.col(text_col))
     rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("hash"), text.alias("text"))
     id_type = docs.select(id_col).schema[0].dataType.simpleString()
@@ -127,6 +128,7 @@ def _sum_chunks(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def rarity(docs: DataFrame, n: int, text_col: str = "text") -> np.ndarray:
     """Level of every sketch bucket over all documents; ``SKETCH`` bytes reach the driver."""
+    small_batches(docs)
     parts = docs.select(whole_text(F.col(text_col)).alias("text")).mapInArrow(lambda b: _sketch(b, n), "chunk int, counts binary")
     sums = parts.repartition(SKETCH // CHUNK, "chunk").mapInPandas(_sum_chunks, "chunk int, levels binary")
     out = np.zeros(SKETCH, np.uint8)
@@ -222,6 +224,7 @@ def shared_prefixes(docs: DataFrame, n: int, num: int, den: int, levels, text_co
     The second pass leaves most other rows out by a bit filter of fixed size
     before anything is shuffled; the join with the kept keys is exact.
     """
+    small_batches(docs)
     texts = docs.select(whole_text(F.col(text_col)).alias("text"))
     counted = texts.mapInArrow(lambda b: _prefixes(b, n, num, den, levels.value, None), "key long")
     several = (counted.groupBy("key").agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1")
@@ -333,6 +336,7 @@ def _verify(batches: Iterator[pa.RecordBatch], n: int, num: int, den: int) -> It
 
 def verified(pairs: DataFrame, table: DataFrame, docs: DataFrame, n: int, num: int, den: int, text_col: str) -> DataFrame:
     """The pairs that link. Texts are fetched by hash; only rows whose hash bucket is asked for are shuffled."""
+    small_batches(docs)
     asked = pairs.select(F.col("a").alias("cls")).unionByName(pairs.select(F.col("b").alias("cls"))).distinct()
     one = table.filter("cls is not null").groupBy("cls").agg(F.min("hash").alias("hash"))
     asked = asked.join(one, "cls")

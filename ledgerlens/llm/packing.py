@@ -38,14 +38,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.llm.bpe import byte_alphabet
-from ledgerlens.llm.common import LOWER_AZ, record, slices, text_bytes
+from ledgerlens.llm.common import LOWER_AZ, record, release, slices, small_batches, text_bytes
 from ledgerlens.llm.pairindex import PairIndex
 from ledgerlens.llm.pieces import worker_cache
 
 FILE = "word_bpe_49k.json"
 SLICE_BYTES = 4_000_000
 GROUP_DOCS = 8192
-CACHE_ENTRIES = 600_000
+CACHE_ENTRIES = 500_000
 # Chunks of these characters alone have a known normal form; their pre-tokens.
 _PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ]+")
 _TOKENS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
@@ -154,6 +154,7 @@ _loaded: dict[str, WordVocabulary] = {}
 def vocabulary(path: str) -> WordVocabulary:
     if path not in _loaded:
         _loaded[path] = WordVocabulary(path)
+        release()
     return _loaded[path]
 
 
@@ -166,6 +167,7 @@ def pieces_of(docs: DataFrame, limit: int, id_col: str = "doc_id", text_col: str
 
     ``deal`` numbers a task's pieces from a start of its own, for dealing them out.
     """
+    small_batches(docs)
     path = path or public_tokenizers.path(FILE)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -9,6 +9,7 @@ out its first space, which the library adds again.
 
 from __future__ import annotations
 
+import gc
 import re
 from collections.abc import Callable, Iterable
 from itertools import islice
@@ -107,6 +108,7 @@ def forget() -> None:
     """Drop the worker's cache, for operators that have none."""
     if _caches:
         _caches.clear()
+        gc.collect()
         release()
 
 

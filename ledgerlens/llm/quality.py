@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.llm import pieces
-from ledgerlens.llm.common import WHITE, record, slices, text_bytes
+from ledgerlens.llm.common import WHITE, record, slices, small_batches, text_bytes
 from ledgerlens.llm.shingles import Words, grams, mixed, words_of
 
 SLICE_BYTES = 1_000_000
@@ -181,6 +181,7 @@ _ARROW = {"long": pa.int64(), "boolean": pa.bool_(), "string": pa.string(), "dou
 
 def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None) -> DataFrame:
     """``id`` and ``MEASURES`` per row. A narrow step."""
+    small_batches(docs)
     path = path or pieces.model_path()
     fields = [f.split() for f in MEASURES.split(", ")]
 
@@ -199,6 +200,7 @@ def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", pat
 
 def keep_good(docs: DataFrame, text_col: str = "text", path: str | None = None) -> DataFrame:
     """The rows whose text is kept, all columns unchanged. A narrow step."""
+    small_batches(docs)
     path = path or pieces.model_path()
     place = docs.columns.index(text_col)
 

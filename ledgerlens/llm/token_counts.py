@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.llm import pieces
-from ledgerlens.llm.common import record, slices
+from ledgerlens.llm.common import record, slices, small_batches
 
 LOCAL_TOP, TABLE = 8192, 65536
 LOCAL_ENTRIES = 400_000
@@ -50,6 +50,7 @@ def _frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def frequent_pretokens(docs: DataFrame, text_col: str = "text", most: int = TABLE) -> DataFrame:
     """``word, n``: the corpus' most frequent pre-tokens by the sums of the tasks' own tops."""
+    small_batches(docs)
     local = docs.select(F.col(text_col).cast("string").alias("text")).mapInArrow(_frequent, "word string, n long")
     return local.groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(most)
 
