@@ -7,7 +7,7 @@ a whole number of thousandths, so scores are exact.
 
 Scan of a file:
 
-1. its words that occur in the index, the ``FILE_WORDS`` heaviest of them;
+1. its words that occur in the index, all of them;
 2. each place of such a word meets the word's postings; ``place - position`` is
    where the template would have to start;
 3. per file, template and start the weights add up; a template is found where
@@ -59,7 +59,9 @@ TEMPLATES = [
      "mozilla public license"),
 ]
 STEMS = "(?i)licens|permission|redistribut"
-TEMPLATE_WORDS, FILE_WORDS, LEAST_SCORE = 10, 32, 0.6
+TEMPLATE_WORDS, LEAST_SCORE = 10, 0.6
+# Indexed words of a file that the DuckDB form reads; ``scan`` reads all, so the two agree on files with no more than these.
+FILE_WORDS = 32
 
 
 def index() -> list[tuple[str, str, int, int, int]]:
@@ -80,7 +82,7 @@ def index() -> list[tuple[str, str, int, int, int]]:
 
 
 def vocabulary() -> list[tuple[str, int]]:
-    """Indexed words with the weight by which a file's words are ranked."""
+    """Indexed words with their largest weight."""
     best: dict[str, int] = {}
     for w, _, _, weight, _ in index():
         best[w] = max(best.get(w, 0), weight)
@@ -133,21 +135,17 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
         "id", "n_words", F.lit(0).cast("long").alias("n_base"), F.lit(None).cast("long").alias("first_word"),
         F.lit(None).cast("long").alias("last_word"), none.alias("base"), F.array().cast(found_type).alias("starts"))
 
-    vocab = vocabulary()
+    vocab = [w for w, _ in vocabulary()]
     words = F.regexp_extract_all(F.translate("text", UPPER, LOWER), F.lit(WORD), F.lit(0))
     files = rows.filter(F.col("text").rlike(STEMS)).select("id", "n_words", words.alias("words"))
     spaced = F.concat(F.lit(" "), F.array_join("words", " "), F.lit(" "))
     files = files.withColumn("spaced", spaced)
     for name, c in _base(F.col("spaced"), F.col("n_words")).items():
         files = files.withColumn(name, c)
-    weights = F.expr(sql_literal(dict(vocab)))
-    mine = F.array_intersect("words", F.expr(sql_literal([w for w, _ in vocab])))
-    ranked = F.array_sort(F.transform(mine, lambda w: F.struct((-F.element_at(weights, w)).alias("weight"), w.alias("word"))))
-    files = files.withColumn("heavy", F.transform(F.slice(ranked, 1, FILE_WORDS), lambda x: x["word"]))
     own = ["file", "id", "n_words", "n_base", "first_word", "last_word", "base"]
     files = files.withColumn("file", F.monotonically_increasing_id())
-    places = files.select(*own, "heavy", F.posexplode_outer("words").alias("place", "word")).filter(
-        F.col("place").isNull() | (F.col("place") == 0) | F.array_contains("heavy", F.col("word")))
+    places = files.select(*own, F.posexplode_outer("words").alias("place", "word")).filter(
+        F.col("place").isNull() | (F.col("place") == 0) | F.col("word").isin(vocab))
     postings = fixed_rows(spark, index(), "word string, label string, position int, weight int, key int")
     votes = places.select(*own, "place", "word").join(F.broadcast(postings), "word", "left")
     sums = votes.groupBy(*own, "label", (F.col("place") - F.col("position")).cast("long").alias("start")).agg(
@@ -166,7 +164,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
 
 
 def oracle_sql() -> str:
-    """The same scan as DuckDB SQL over documents with unique ids."""
+    """The same scan as DuckDB SQL over documents with unique ids and at most ``FILE_WORDS`` indexed words each."""
     def values(rows):
         return ", ".join("(" + ", ".join(f"'{x}'" if isinstance(x, str) else str(x) for x in r) + ")" for r in rows)
 

@@ -125,6 +125,17 @@ def test_licence_templates_are_found_in_place(make_docs):
         assert (label, len(noise.split())) in {(s["label"], s["start"]) for s in r["starts"]}
 
 
+def test_licence_notices_of_one_long_file_are_all_found(make_docs):
+    texts = {label: text for label, text, _ in licences.TEMPLATES}
+    pairs = [("mit-grant", "gpl-grant"), ("gpl-grant", "bsd-grant"), tuple(texts)]
+    files = [" and then ".join(texts[label] for label in pair) for pair in pairs]
+    assert len(set(files[-1].split()) & {w for w, _ in licences.vocabulary()}) == len(licences.vocabulary()) > 32
+    for r, pair, file in zip(labels(make_docs, *files), pairs, files):
+        assert set(pair) <= set(r["labels"]) and r["score"] == 1.0
+        starts = {(s["label"], s["start"]) for s in r["starts"]}
+        assert {(label, len(file[:file.index(texts[label])].split())) for label in pair} <= starts
+
+
 def test_licence_needs_the_phrase_and_the_positions(make_docs):
     shuffled, partly, gap = labels(
         make_docs, "forms binary and source in use and redistribution with permission",
