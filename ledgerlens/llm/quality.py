@@ -10,12 +10,27 @@ measures
 * entropy of the text's tokens in bits.
 
 A text is rejected when one of them leaves the band of its script (the script of
-most of its letters). Bands are wide: text that reads as language stays. Entropy
-and the lower end of characters per token need some length to mean anything and
-are only judged from ``LEAST_TOKENS`` tokens on.
+most of its letters), or when what its characters are says that the measures do
+not come from language:
+
+* digits are a token each, so characters per token are judged without them, and
+  Latin letters outside ASCII, which take tokens of their own, are made up for
+  (``ACCENTS``); letters at random, base64 and the like stay below the band;
+* symbols in runs are cheap to encode and lift characters per token into the band,
+  so their share has a bound of its own (``MOST_SYMBOLS``, ``MOST_MARKS``);
+* a text of which few characters are letters (``LEAST_LETTERS``) is not language;
+* where most tokens spell bytes, one writing system repeats its leading bytes:
+  letters of many systems at random do not (``MOST_BYTE_BITS``).
+
+The Latin bounds lie in the gaps of the given tables (sf0.1): from 64 tokens on,
+clean documents have 2.19 characters per token or more by this reckoning, 40 words
+of random letters 1.94 or less; symbols are up to 14 % of a clean document (tables)
+and from 17 % on in symbol junk. Entropy and the lower end of characters per token need some length to
+mean anything: they are judged from ``LEAST_TOKENS`` tokens on, Latin texts loosely
+(``SHORT``) from half as many.
 
 Edge cases: null text has no words and fails the base rule; a text without letters
-takes the bands of script ``none``; texts of any length are read whole, in slices
+takes the bands of script ``none`` and has no letter share, so it is never kept; texts of any length are read whole, in slices
 of documents; repeated or null ids are just rows; an empty table gives an empty
 result; only the id and the text are read.
 """
@@ -39,25 +54,35 @@ LEAST_TOKENS = 64
 WINDOW = 5
 # The characters counted as symbols.
 SYMBOLS = b"#*$%&|<>"
+# Most share of these symbols and of all ASCII marks among the characters, least share of letters
+# among the characters other than white space, most entropy in bits of texts of script "other" spelt mostly in bytes.
+MOST_SYMBOLS, MOST_MARKS, LEAST_LETTERS, MOST_BYTE_BITS = 0.15, 0.30, 0.25, 5.5
+# Characters per token made up for a share 1 of characters outside ASCII, and the lower end for short texts (Latin).
+ACCENTS, SHORT = 2.5, 1.8
 # Script -> least and most characters per token, most byte-fallback share, least token entropy in bits.
 BANDS = {
-    "Latin": (1.2, 12.0, 0.20, 3.0),
+    "Latin": (2.05, 12.0, 0.20, 3.0),
     "Cyrillic": (1.0, 12.0, 0.20, 3.0),
     "Greek": (0.6, 12.0, 0.60, 3.0),
     "Arabic": (0.5, 12.0, 0.60, 3.0),
     "Hebrew": (0.5, 12.0, 0.60, 3.0),
     "Devanagari": (0.4, 12.0, 0.95, 2.5),
-    "Han": (0.3, 4.0, 0.98, 2.5),
-    "Hiragana": (0.3, 4.0, 0.98, 2.5),
-    "Hangul": (0.3, 4.0, 0.98, 2.5),
+    "Han": (0.3, 4.0, 0.90, 2.5),
+    "Hiragana": (0.3, 4.0, 0.90, 2.5),
+    "Hangul": (0.3, 4.0, 0.90, 2.5),
     "other": (0.25, 12.0, 1.00, 2.0),
-    "none": (0.0, 12.0, 1.00, 2.0),
+    "none": (1.5, 12.0, 0.20, 3.0),
 }
 _SCRIPTS = {s: regex.compile(rf"\p{{Script={s}}}") for s in BANDS if s not in ("other", "none")}
 _LETTER = regex.compile(r"\p{L}")
 _LATIN1 = regex.compile("[^\x00-ɏ]")
 _IS_SYMBOL = np.zeros(256, np.int64)
 _IS_SYMBOL[list(SYMBOLS)] = 1
+_ASCII = np.array([chr(b) if b < 128 else "" for b in range(256)])
+_IS_LETTER, _IS_DIGIT = np.char.isalpha(_ASCII).astype(np.int64), np.char.isdigit(_ASCII).astype(np.int64)
+_IS_MARK = np.array([33 <= b < 127 and not chr(b).isalnum() for b in range(256)], np.int64)
+# Bytes that begin a character outside ASCII.
+_IS_WIDE = (np.arange(256) >= 0xC0).astype(np.int64)
 
 MEASURES = ("n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, "
             "script string, n_tokens long, chars_per_token double, byte_share double, token_entropy double, kept boolean")
@@ -106,8 +131,8 @@ def repeated_lines(text: str) -> int:
     return len(lines) - len(set(lines))
 
 
-def base_counts(texts: list[bytes]) -> dict[str, np.ndarray]:
-    words = words_of(texts)
+def base_counts(texts: list[bytes], words: Words | None = None) -> dict[str, np.ndarray]:
+    words = words or words_of(texts)
     points = (words.data & 0xC0) != 0x80
     running = np.concatenate([[0], np.cumsum(points)])
     in_words = running[words.end] - running[words.start]
@@ -153,26 +178,52 @@ class Fertility:
         return out
 
 
+def make_up(words: Words) -> dict[str, np.ndarray]:
+    """Characters of each text by kind: ASCII letters, digits and marks, and those outside ASCII (``wide``)."""
+    tables = {"letters": _IS_LETTER, "digits": _IS_DIGIT, "marks": _IS_MARK, "wide": _IS_WIDE}
+    return {n: _per_text(t[words.data], words.text_at) for n, t in tables.items()}
+
+
 def in_band(script: str, tokens: int, chars: float, fallback: float, entropy: float) -> bool:
     least, most, share, bits = BANDS[script]
     if tokens == 0:
         return False
-    if chars > most or fallback > share:
+    if chars > most or fallback > share or (script == "other" and fallback > 0.5 and entropy > MOST_BYTE_BITS):
         return False
+    if script == "Latin":  # its lower end is judged by ``reads_as_letters``
+        least = 0.0
     return tokens < LEAST_TOKENS or (chars >= least and entropy >= bits)
 
 
+def reads_as_letters(text: str, script: str, tokens: int, word_chars: int, symbols: int, letters: int, digits: int,
+                     marks: int, wide: int) -> bool:
+    """Whether the text is made of letters, and of such that the vocabulary knows in a row."""
+    size = len(text)
+    if script == "none" or symbols > MOST_SYMBOLS * size or marks > MOST_MARKS * size:
+        return False
+    if letters < LEAST_LETTERS * word_chars:
+        if len(_LETTER.findall(text)) < LEAST_LETTERS * word_chars:  # those outside ASCII count too
+            return False
+    if script != "Latin":
+        return True
+    rest = tokens - digits
+    least = BANDS[script][0] if rest >= LEAST_TOKENS else SHORT if rest >= LEAST_TOKENS // 2 else 0.0
+    return (size - digits) / max(rest, 1) + ACCENTS * wide / size >= least
+
+
 def judge(texts: list[bytes], fertility: Fertility) -> dict[str, list | np.ndarray]:
     """All columns of ``MEASURES`` for a slice of texts."""
-    out: dict[str, list | np.ndarray] = dict(base_counts(texts))
+    words = words_of(texts)
+    out: dict[str, list | np.ndarray] = dict(base_counts(texts, words))
     strings = [t.decode("utf-8", "replace") for t in texts]
     out["n_dup_lines"] = [repeated_lines(t) for t in strings]
     out["base_failed"] = (out["n_words"] < 10) | (100 * out["n_repeat_words"] > 20 * out["n_words"])
     out["script"] = [script_of(t) for t in strings]
     tokens, chars, share, bits = map(list, zip(*fertility.measures(strings)))
     out["n_tokens"], out["chars_per_token"], out["byte_share"], out["token_entropy"] = tokens, chars, share, bits
-    out["kept"] = [not failed and in_band(s, n, c, b, e) for failed, s, n, c, b, e in
-                   zip(out["base_failed"].tolist(), out["script"], tokens, chars, share, bits)]
+    kinds = [x.tolist() for x in (out["word_chars"], out["n_symbols"], *make_up(words).values())]
+    out["kept"] = [not failed and in_band(s, n, c, b, e) and reads_as_letters(t, s, n, *own) for failed, t, s, n, c, b, e, *own in
+                   zip(out["base_failed"].tolist(), strings, out["script"], tokens, chars, share, bits, *kinds)]
     return out
 
 

@@ -1,8 +1,11 @@
 import hashlib
+import random
 import re
+import string
 import zlib
 from collections import Counter
 
+import duckdb
 import numpy as np
 import public_tokenizers as P
 import pytest
@@ -14,6 +17,8 @@ from tokenizers import Tokenizer
 from ledgerlens.llm import bpe, packing, pieces, quality, token_counts
 from ledgerlens.llm.pairindex import PairIndex
 
+from .conftest import SMOKE
+
 TRICKY = ["", " ", "  a  b ", "a\tb\n\n c  ", "<|endoftext|> x <|endoftext|>y", "<|ENDOFTEXT|> A", "▁a ▁▁ b▁ c", "a\xa0b　c\x1c d",
           "aaaaaaaaaaaa bbbbb hahahaha", "日本語 テキスト 😀😀 x", "'s it's 'll DON'T   \n", "É" * 50, "ﬁ ǅ İ ß ΑΣ Σ", "é ́a",
           "x" * 3000, "1234 12,5 a.b.c ...,!", "\x00\x01 \x7f", "<s> </s> <unk> <0x41>"]
@@ -190,6 +195,44 @@ def test_verdict(make_docs, text, script, kept):
     assert (r["script"], r["kept"]) == (script, kept), r
 
 
+def _random_words(alphabet, n=200, seed=5):
+    rnd = random.Random(seed)
+    return " ".join("".join(rnd.choice(alphabet) for _ in range(rnd.randint(2, 10))) for _ in range(n))
+
+
+ALPHABETS = {"letters": string.ascii_lowercase, "capitals": string.ascii_uppercase, "base64": string.ascii_letters + string.digits + "+/",
+             "hex": "0123456789abcdef", "digits": string.digits, "symbols": "#$%&*!@^~", "emoji": [chr(0x1F600 + i) for i in range(60)],
+             "private use": [chr(0xE000 + i) for i in range(3000)],
+             "letters of many scripts": [chr(i) for i in [*range(0x250, 0x3000), *range(0xA000, 0xAC00)] if chr(i).isalpha()]}
+
+
+@pytest.mark.parametrize("kind", ALPHABETS)
+def test_planted_noise_goes(make_docs, kind):
+    r = quality.measure(make_docs([(1, _random_words(ALPHABETS[kind]))])).first()
+    assert not r["base_failed"] and not r["kept"], r
+
+
+def test_symbol_junk_goes_and_clean_documents_stay(spark):
+    docs = [r for r in duckdb.sql(f"SELECT text FROM '{SMOKE.replace('0.001', '0.01')}/documents.parquet'").fetchall()]
+    texts = [t for t, in docs if t and (m := base(t))[0] >= 10 and 100 * m[4] <= 20 * m[0]]
+    fertility = quality.Fertility(P.path("piece_bpe_32k.model"))
+    junk = [sum(c in "#*$%&|<>" for c in t) > 0.15 * len(t) for t in texts]
+    assert sum(junk) > 20
+    assert quality.judge([t.encode() for t in texts], fertility)["kept"] == [not j for j in junk]
+    walls = ["@@@ ".join(t.split(" ")) for t, j in zip(texts, junk) if not j][:50]  # symbols that the base counts leave out
+    assert not any(quality.judge([t.encode() for t in walls], fertility)["kept"])
+
+
+@pytest.mark.parametrize("text", [
+    "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. Są oni obdarzeni rozumem i sumieniem.",
+    "Tất cả mọi người sinh ra đều được tự do và bình đẳng về nhân phẩm và quyền lợi. Mọi con người đều được tạo hoá ban cho lý trí.",
+    "ყველა ადამიანი იბადება თავისუფალი და თანასწორი თავისი ღირსებითა და უფლებებით. მათ მინიჭებული აქვთ გონება და სინდისი.",
+    "የሰው ልጅ ሁሉ ሲወለድ ነጻና በክብርና በመብትም እኩልነት ያለው ነው። የተፈጥሮ ማስተዋልና ሕሊና ስላለው አንዱ ሌላውን በወንድማማችነት መንፈስ መመልከት ይገባዋል።",
+    "Call +1 (168) 555-5254 or write to 8316107434564120 with token 9dd3c80004c73dc9 and order number 4761598977407687 today please."])
+def test_language_of_any_script_stays(make_docs, text):
+    assert quality.measure(make_docs([(1, text)])).first()["kept"]
+
+
 def test_measures(make_docs):
     text = "one two three four five six seven eight nine ten \U0001f980"
     r = quality.measure(make_docs([(1, text)])).first()
