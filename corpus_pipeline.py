@@ -20,7 +20,8 @@ LIMIT = 2048
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is told (a letter in the text, posterior of one half or more); learnt from all labelled rows."""
+    """Documents whose language is told (a letter in the text, posterior of one half or more, n-grams that the language
+    explains); learnt from all labelled rows."""
     return langid.keep_known(docs, langid.train(docs), least_score=0.5)
 
 

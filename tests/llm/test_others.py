@@ -204,6 +204,28 @@ def test_features_do_not_depend_on_neighbours():
         assert a[:at[1] - 2].tolist() == b[bounds[1]:bounds[2] - 2].tolist()
 
 
+FOREIGN = [
+    "Все люди рождаются свободными и равными в своем достоинстве и правах. Они наделены разумом и совестью.",
+    "人人生而自由,在尊严和权利上一律平等。他们赋有理性和良心,并应以兄弟关系的精神相对待。",
+    "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. Są oni obdarzeni rozumem.",
+    "qzvx wkjq xpgf hqzt vbnk jxwq zrfp gkcv qhxz wvjb kqpx zgtf", "#a$ %%b &*c! @d# $$e %f& *g! @@h #i$ %j& *k!"]
+
+
+@pytest.mark.parametrize("size", ["0.001", "0.01"])
+def test_texts_in_no_learnt_language_go(spark, make_docs, size):
+    docs = spark.read.parquet(f"{SMOKE.replace('0.001', size)}/documents.parquet")
+    model = langid.train(docs)
+    assert all(s >= 0.5 for s in model.predict(FOREIGN)[1])  # the posterior alone tells nothing
+    assert langid.keep_known(make_docs(list(enumerate(FOREIGN))), model).count() == 0
+    assert langid.keep_known(docs, model).count() == langid.identify(docs, model).filter("lang_pred != 'und'").count()
+
+
+def test_numbers_do_not_hide_a_language(make_docs, small_texts):
+    model = langid.train(make_docs([r for r in small_texts if r[2]]))
+    text = next(t for _, t, lang in small_texts if lang == "en" and len(t) > 1000)[:60]
+    assert model.tell([text, f"{text} 8316107434564120 4761598977407687 +1 (168) 555-5254 90210"], 0.5) == [True, True]
+
+
 def test_language_of_odd_rows(make_docs, odd_rows):
     docs = make_docs(odd_rows)
     model = langid.train(docs)
