@@ -49,7 +49,11 @@ def _frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def frequent_pretokens(docs: DataFrame, text_col: str = "text", most: int = TABLE) -> DataFrame:
-    """``word, n``: the corpus' most frequent pre-tokens by the sums of the tasks' own tops."""
+    """``word, n``: frequent pre-tokens of the corpus, by the sums of the tasks' own tops.
+
+    Approximate: a task that keeps ``LOCAL_ENTRIES`` words forgets its rarer half and hands on ``LOCAL_TOP``, so
+    ``n`` can be too small and a word in no task's top is left out. Token counts do not depend on it.
+    """
     small_batches(docs)
     local = docs.select(F.col(text_col).cast("string").alias("text")).mapInArrow(_frequent, "word string, n long")
     return local.groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(most)
