@@ -2,7 +2,8 @@
 
 1. Every task counts its own pre-tokens in a bounded table and hands on its
    ``LOCAL_TOP`` most frequent ones; the sums of these give the ``TABLE`` most
-   frequent of the corpus. All documents are counted; what moves is bounded per task.
+   frequent of the corpus. All documents are read, but the
+   table is approximate: a word in no task's top is missing. What moves is bounded per task.
 2. Their lengths are broadcast as one compact table (words joined in one string,
    one byte each for the lengths): tier one.
 3. A second narrow pass looks every pre-token up; misses go to the worker's own
