@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlens.llm import (
-    bpe, chat, exact_dedup, langid, licences, ngram_join, packing, quality, sharding, token_counts)
+    bpe, chat, exact_dedup, langid, licences, ngram_join, packing, quality, secrets_scan, sharding, token_counts)
 from ledgerlens.llm.common import documents, fixed_rows
 from ledgerlens.sources.tables import read_table
 
@@ -126,3 +126,8 @@ reach(doc_id, other) AS (
   SELECT doc_id, doc_id FROM documents UNION SELECT r.doc_id, l.b FROM reach r JOIN links l ON l.a = r.other)
 SELECT d.doc_id, CAST(coalesce(max(s.n), 0) AS BIGINT) AS n_shingles, min(r.other) AS component_id
 FROM documents d JOIN reach r USING (doc_id) LEFT JOIN sizes s USING (doc_id) GROUP BY d.doc_id"""
+
+
+def op12_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = secrets_scan.report(secrets_scan.scan(documents(spark, sf_dir, "doc_id", "text")))
+    return out.withColumnRenamed("id", "doc_id")
