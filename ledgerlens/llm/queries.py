@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlens.llm import (
-    bpe, chat, exact_dedup, langid, licences, ngram_join, packing, quality, secrets_scan, sharding, token_counts)
+    bpe, chat, collocations, exact_dedup, langid, licences, ngram_join, packing, quality, secrets_scan, sharding, token_counts)
 from ledgerlens.llm.common import documents, fixed_rows
 from ledgerlens.sources.tables import read_table
 
@@ -128,6 +128,10 @@ SELECT d.doc_id, CAST(coalesce(max(s.n), 0) AS BIGINT) AS n_shingles, min(r.othe
 FROM documents d JOIN reach r USING (doc_id) LEFT JOIN sizes s USING (doc_id) GROUP BY d.doc_id"""
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(documents(spark, sf_dir, "text", "lang"), support=10, top=2000)
+
+
 def op12_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = secrets_scan.report(secrets_scan.scan(documents(spark, sf_dir, "doc_id", "text")))
     return out.withColumnRenamed("id", "doc_id")

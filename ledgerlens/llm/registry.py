@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ledgerlens.llm import licences, queries, secrets_scan
+from ledgerlens.llm import collocations, licences, queries, secrets_scan
 
 QUERIES = {
     "op1_sharding": queries.op1_sharding,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_chat_format": queries.op8_chat_format,
     "op9_exact_dedup": queries.op9_exact_dedup,
     "op10_best_fit_packing": queries.op10_best_fit_packing,
+    "op11_collocations": queries.op11_collocations,
     "op12_secret_scan": queries.op12_secret_scan,
 }
 
@@ -23,5 +24,6 @@ ORACLES = {
     "op7_licence_scan": licences.oracle_sql(),
     "op8_chat_format": queries.OP8_SQL,
     "op9_exact_dedup": queries.OP9_SQL,
+    "op11_collocations": collocations.oracle_sql(),
     "op12_secret_scan": secrets_scan.oracle_sql(),
 }
