@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlens.llm import (
-    bpe, chat, collocations, exact_dedup, langid, licences, ngram_join, packing, quality, secrets_scan, sharding, token_counts)
+    bpe, chat, collocations, exact_dedup, hard_negatives, langid, licences, ngram_join, packing, quality, secrets_scan, sharding,
+    token_counts)
 from ledgerlens.llm.common import documents, fixed_rows
 from ledgerlens.sources.tables import read_table
 
@@ -135,3 +136,28 @@ def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = secrets_scan.report(secrets_scan.scan(documents(spark, sf_dir, "doc_id", "text")))
     return out.withColumnRenamed("id", "doc_id")
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = hard_negatives.whole_vectors(read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label"), label)
+    return hard_negatives.mine(rows, F.col("id") % 100 == 0, positives=5, negatives=5, low=80, high=100)
+
+
+OP13_SQL = """
+WITH v AS (
+  SELECT DISTINCT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS x
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scores AS (
+  SELECT a.id AS anchor, a.label AS own, b.id AS other, b.label AS label, CAST(list_dot_product(a.x, b.x) AS BIGINT) AS score
+  FROM v a JOIN v b ON b.id != a.id WHERE a.id % 100 = 0),
+positives AS (
+  SELECT * FROM scores WHERE label = own QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY score DESC, other) <= 5)
+SELECT p.anchor AS anchor_id, p.other AS positive_id,
+       CAST(row_number() OVER (PARTITION BY p.anchor, p.other ORDER BY n.score DESC, n.other) AS INTEGER) AS rank,
+       n.other AS negative_id, p.score AS positive_score, n.score AS negative_score
+FROM positives p JOIN scores n ON n.anchor = p.anchor AND n.label != n.own
+  AND 80 * p.score <= 100 * n.score AND 100 * n.score <= 100 * p.score
+QUALIFY rank <= 5"""

@@ -17,6 +17,7 @@ QUERIES = {
     "op10_best_fit_packing": queries.op10_best_fit_packing,
     "op11_collocations": queries.op11_collocations,
     "op12_secret_scan": queries.op12_secret_scan,
+    "op13_hard_negatives": queries.op13_hard_negatives,
 }
 
 ORACLES = {
@@ -26,4 +27,5 @@ ORACLES = {
     "op9_exact_dedup": queries.OP9_SQL,
     "op11_collocations": collocations.oracle_sql(),
     "op12_secret_scan": secrets_scan.oracle_sql(),
+    "op13_hard_negatives": queries.OP13_SQL,
 }

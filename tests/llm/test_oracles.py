@@ -11,7 +11,7 @@ from .conftest import SMOKE
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_matches_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "conversations"):
+    for t in ("documents", "conversations", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SMOKE}/{t}.parquet'")
     got = QUERIES[name](spark, SMOKE)
     cols = sorted(got.columns)
