@@ -4,7 +4,7 @@
 of text, overlaps included; pieces end at punctuation and line ends.
 
 1. Texts are dealt to ``SHARDS`` shards slice by slice. A slice counts its phrases
-   completely (numpy over word numbers) and hands on one packed block per bucket of
+   completely (sorted word numbers) and hands on one packed block per bucket of
    phrases; a phrase's bucket is a hash of its words and language.
 2. A bucket meets all its blocks in one place. There, per shard, the counts of a
    phrase add up: the mining of that shard, complete. A phrase with ``support``
@@ -38,6 +38,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -45,53 +46,67 @@ from pyspark.sql.window import Window
 from ledgerlens.llm.common import record, release, shuffle_width, slices, text_bytes
 from ledgerlens.sources.tables import write_read
 
-SUPPORT, SHARDS, BUCKETS, WORDS = 10, 4, 16, 3
+SUPPORT, SHARDS, BUCKETS, WORDS = 10, 4, 4, 3
 SLICE_BYTES = 6_000_000
 _NO_LANG = "und"
 # A-Z to lower case, the characters that end a piece to a line end, tab to space.
 _TABLE = bytes(10 if chr(b) in ".,;:!?\n\x0b\x0c\r" else 32 if b == 9 else b + 32 if 65 <= b <= 90 else b for b in range(256))
-BLOCK = "bucket int, shard int, size long, phrases binary, counts binary"
+BLOCK = "bucket int, shard int, size long, phrases binary, lengths binary, counts binary"
 
 
 def _escaped(lang: str) -> bytes:
-    """The language as the head of a packed line: free of line ends and tabs."""
-    return lang.replace("\\", "\\\\").replace("\t", "\\t").replace("\n", "\\n").encode()
+    """The language as the head of a packed line: free of tabs."""
+    return lang.replace("\\", "\\\\").replace("\t", "\\t").encode()
 
 
 def _restored(lang: str) -> str:
-    return re.sub(r"\\(.)", lambda m: {"t": "\t", "n": "\n"}.get(m[1], m[1]), lang)
+    return re.sub(r"\\(.)", lambda m: {"t": "\t"}.get(m[1], m[1]), lang)
 
 
-def word_numbers(texts: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+def word_numbers(texts: list[bytes]) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     """Distinct words in byte order, the number of each word in reading order, and the piece it stands in."""
-    data = b"\n".join(t.translate(_TABLE) for t in texts)
-    chars = np.frombuffer(data, np.uint8)
-    gap = (chars == 32) | (chars == 10)
-    starts = np.flatnonzero(~gap & np.concatenate(([True], gap[:-1]))) if len(chars) else np.zeros(0, np.int64)
-    pieces = np.searchsorted(np.flatnonzero(chars == 10), starts)
-    words = [w for line in data.split(b"\n") for w in line.split(b" ") if w]
-    coded = pa.array(words, pa.binary()).dictionary_encode()
-    known = coded.dictionary.to_pylist()
-    order = sorted(range(len(known)), key=known.__getitem__)
-    rank = np.empty(len(known), np.int64)
-    rank[order] = np.arange(len(known))
-    return [known[i] for i in order], rank[np.asarray(coded.indices, np.int64)] if words else rank, pieces
+    chars = np.frombuffer(b"\n".join(t.translate(_TABLE) for t in texts), np.uint8)
+    ends = chars == 10
+    gap = ends | (chars == 32)
+    edges = np.flatnonzero(np.diff(np.concatenate(([True], gap, [True]))))
+    starts, stops = edges[::2], edges[1::2]
+    offsets = np.concatenate(([0], np.cumsum(stops - starts))).astype(np.int32)
+    words = pa.BinaryArray.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(chars[~gap])])
+    coded = words.dictionary_encode()
+    order = pc.sort_indices(coded.dictionary)
+    rank = np.empty(len(order), np.int64)
+    rank[np.asarray(order)] = np.arange(len(order))
+    numbers = rank[np.asarray(coded.indices)] if len(starts) else np.zeros(0, np.int64)
+    return coded.dictionary.take(order), numbers, np.cumsum(ends)[starts]
+
+
+def _runs(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct codes, rising, and how often each occurs."""
+    codes = np.sort(codes)
+    first = np.flatnonzero(np.concatenate(([True], codes[1:] != codes[:-1])))
+    return codes[first], np.diff(np.concatenate((first, [len(codes)])))
 
 
 def phrase_counts(numbers: np.ndarray, pieces: np.ndarray, known: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """For one word, two words and so on: the word numbers of each distinct phrase and how often it stands."""
-    codes, most = numbers, max(known, 1)
-    first = np.arange(len(numbers))
+    shorter = np.arange(known)[:, None]  # the phrases one word shorter, and for each start in the text which of them stands there
+    codes = numbers
     for n in range(1, WORDS + 1):
-        if n > 1:
-            inside = pieces[first] == pieces[np.minimum(first + n - 1, len(pieces) - 1)]
-            inside &= first + n - 1 < len(numbers)
-            first, codes = first[inside], codes[inside]
-            codes = codes * most + numbers[first + n - 1]
-        if not len(first):
+        if n == 1:
+            yield shorter, np.bincount(numbers, minlength=known)
+            continue
+        if len(numbers) < n:
             return
-        _, at, codes, count = np.unique(codes, return_index=True, return_inverse=True, return_counts=True)
-        yield numbers[first[at][:, None] + np.arange(n)], count
+        inside = pieces[:1 - n] == pieces[n - 1:]  # no later start fits if a shorter phrase does not: pieces rise
+        codes = codes[:len(inside)] * known + numbers[n - 1:]
+        distinct, count = _runs(codes[inside])
+        if not len(distinct):
+            return
+        found = np.concatenate((shorter[distinct // known], (distinct % known)[:, None]), axis=1)
+        yield found, count
+        # numbered anew, so that the next code fits in 64 bits; starts at which none stands get any number
+        codes = np.minimum(np.searchsorted(distinct, codes), len(distinct) - 1) if n < WORDS else codes
+        shorter = found
 
 
 def _mixed(hashes: np.ndarray, seed: int) -> np.ndarray:
@@ -103,28 +118,40 @@ def _mixed(hashes: np.ndarray, seed: int) -> np.ndarray:
     return h * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(20)
 
 
-def packed_blocks(texts: list[bytes], lang: str, buckets: int) -> Iterator[tuple[int, int, bytes, bytes]]:
-    """``bucket, size, phrases, counts`` of all phrases of the texts; a line is language, tab, words."""
-    known, numbers, pieces = word_numbers(texts)
-    if not known:
+def packed_blocks(texts: dict[str, list[bytes]], buckets: int) -> Iterator[tuple[int, int, bytes, bytes, bytes]]:
+    """``bucket, size, phrases, lengths, counts`` of all phrases of the texts, by language.
+
+    A phrase is written as language, tab, words; one without words counts all words of the language.
+    """
+    lines, parts, sums = [], [], []
+    for lang, own in texts.items():
+        known, numbers, pieces = word_numbers(own)
+        if not len(known):
+            continue
+        head = _escaped(lang) + b"\t"
+        seed = zlib.crc32(head)
+        first = pc.binary_join_element_wise(head, known, b"")
+        hashes = np.fromiter(map(zlib.crc32, known.to_pylist()), np.uint64, len(known))
+        for rows, count in phrase_counts(numbers, pieces, len(known)):
+            words = [(known if k else first).take(pa.array(rows[:, k])) for k in range(rows.shape[1])]
+            lines.append(pc.binary_join_element_wise(*words, b" ") if len(words) > 1 else words[0])
+            parts.append(_mixed(hashes[rows], seed) % np.uint64(buckets))
+            sums.append(count)
+        lines.append(pa.array([head], pa.binary()))
+        parts.append(np.array([seed % buckets], np.uint64))
+        sums.append(np.array([len(numbers)]))
+    if not lines:
         return
-    head = _escaped(lang) + b"\t"
-    hashes = np.fromiter(map(zlib.crc32, known), np.uint64, len(known))
-    lines: list[bytes] = []
-    parts, sums = [], []
-    for rows, count in phrase_counts(numbers, pieces, len(known)):
-        parts.append(_mixed(hashes[rows], zlib.crc32(head)) % np.uint64(buckets))
-        sums.append(count)
-        lines += map(b" ".join, zip(*([known[i] for i in col] for col in rows.T)))
     bucket, count = np.concatenate(parts).astype(np.int64), np.concatenate(sums)
-    order = np.argsort(bucket, kind="stable")
-    ends = np.cumsum(np.bincount(bucket, minlength=buckets))
+    order = np.argsort(bucket.astype(np.uint16) if buckets <= 1 << 16 else bucket, kind="stable")  # 16 bits: a radix sort
+    whole = pa.chunked_array(lines).combine_chunks().take(pa.array(order))
+    offsets = np.frombuffer(whole.buffers()[1], np.int32)[whole.offset:whole.offset + len(whole) + 1]
+    data, count = memoryview(whole.buffers()[2]), count[order].astype("<u4")
     lo = 0
-    for b, hi in enumerate(ends.tolist()):
+    for b, hi in enumerate(np.cumsum(np.bincount(bucket, minlength=buckets)).tolist()):
         if hi > lo:
-            own = order[lo:hi]
-            body = head + (b"\n" + head).join([lines[i] for i in own])
-            yield b, hi - lo, body, count[own].astype("<u4").tobytes()
+            yield (b, hi - lo, bytes(data[offsets[lo]:offsets[hi]]), np.diff(offsets[lo:hi + 1]).astype("<i4").tobytes(),
+                   count[lo:hi].tobytes())
         lo = hi
 
 
@@ -146,12 +173,11 @@ def mine_slices(docs: DataFrame, buckets: int, text_col: str = "text", lang_col:
         size = 0
 
         def emit() -> Iterator[pa.RecordBatch]:
-            for lang, texts in held.items():
-                rows = [(b, nth % SHARDS, n, _pack(p), _pack(c)) for b, n, p, c in packed_blocks(texts, lang, buckets)]
-                for lo in range(0, len(rows), 1024):
-                    cols = list(zip(*rows[lo:lo + 1024]))
-                    kinds = (pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary())
-                    yield record({f.split()[0]: pa.array(c, k) for f, c, k in zip(BLOCK.split(", "), cols, kinds)})
+            rows = [(b, nth % SHARDS, n, *map(_pack, packed)) for b, n, *packed in packed_blocks(held, buckets)]
+            for lo in range(0, len(rows), 1024):
+                cols = list(zip(*rows[lo:lo + 1024]))
+                kinds = (pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary())
+                yield record({f.split()[0]: pa.array(c, k) for f, c, k in zip(BLOCK.split(", "), cols, kinds)})
             held.clear()
 
         for batch in batches:
@@ -173,69 +199,51 @@ def mine_slices(docs: DataFrame, buckets: int, text_col: str = "text", lang_col:
 FREQUENT = "lang string, phrase string, words int, f long"
 
 
-def _merged(blocks: list[tuple[int, bytes, bytes]], support: int) -> tuple[list[bytes], np.ndarray, dict[bytes, int]]:
-    """Frequent lines of a bucket with their counts, and the word total of each language head."""
-    lines, codes = [], []
-    for shard, phrases, counts in blocks:
-        body = _unpack(phrases)
-        chars = np.frombuffer(body, np.uint8)
-        cuts = np.flatnonzero(chars == 10)
-        offsets = np.concatenate(([-1], cuts)).astype(np.int64) + 1
-        n = len(offsets)
-        # a line's end is the next one's start less the line end between them; keep that in the line to share the offsets
-        whole = pa.LargeBinaryArray.from_buffers(
-            pa.large_binary(), n, [None, pa.py_buffer(np.concatenate((offsets, [len(chars) + 1])).tobytes()), pa.py_buffer(body.to_pybytes() + b"\n")])
-        lines.append(whole)
-        codes.append((np.frombuffer(_unpack(counts), "<u4").astype(np.int64), np.full(n, shard, np.int64)))
-    coded = pa.chunked_array(lines).combine_chunks().dictionary_encode()
-    at = np.asarray(coded.indices, np.int64)
-    count = np.concatenate([c for c, _ in codes])
-    shard = np.concatenate([s for _, s in codes])
-    local = np.bincount(at * SHARDS + shard, count, len(coded.dictionary) * SHARDS).astype(np.int64).reshape(-1, SHARDS)
+def _merged(blocks: list[tuple[int, bytes, bytes, bytes]], support: int) -> tuple[list[bytes], list[int]]:
+    """Frequent phrases of a bucket with their counts; those without words (a language's word count) always."""
+    lines, counts, shards = [], [], []
+    for shard, phrases, lengths, count in blocks:
+        offsets = np.concatenate(([0], np.cumsum(np.frombuffer(_unpack(lengths), "<i4"), dtype=np.int64)))
+        lines.append(pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(offsets) - 1, [None, pa.py_buffer(offsets), _unpack(phrases)]))
+        counts.append(np.frombuffer(_unpack(count), "<u4").astype(np.int64))
+        shards.append(np.full(len(offsets) - 1, shard, np.int64))
+    coded = pa.concat_arrays(lines).dictionary_encode()
+    at = np.asarray(coded.indices).astype(np.int64)
+    local = np.zeros(len(coded.dictionary) * SHARDS, np.int64)
+    np.add.at(local, at * SHARDS + np.concatenate(shards), np.concatenate(counts))
+    local = local.reshape(-1, SHARDS)
     candidate = (local >= -(-support // SHARDS)).any(axis=1)
     total = local.sum(axis=1)
-    chosen = np.flatnonzero(candidate & (total >= support))
-    words: dict[bytes, int] = {}
-    known = coded.dictionary.to_pylist()
-    for line, n in zip(known, total.tolist()):
-        head, _, phrase = line.partition(b"\t")
-        if b" " not in phrase:
-            words[head] = words.get(head, 0) + n
-    return [known[i][:-1] for i in chosen.tolist()], total[chosen], words
+    chosen = np.flatnonzero(candidate & (total >= support) | np.asarray(pc.ends_with(coded.dictionary, b"\t"), bool))
+    return coded.dictionary.take(pa.array(chosen)).to_pylist(), total[chosen].tolist()
 
 
 def frequent_phrases(docs: DataFrame, support: int = SUPPORT, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """``FREQUENT`` of every phrase of one to ``WORDS`` words with f >= support; rows without phrase: parts of all words' count."""
+    """``FREQUENT`` of every phrase of one to ``WORDS`` words with f >= support; a row without phrase counts the language's words."""
     width = shuffle_width(docs.sparkSession)
     blocks = mine_slices(docs, width * BUCKETS, text_col, lang_col)
     dealt = blocks.repartition(width, "bucket").sortWithinPartitions("bucket")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words: dict[bytes, int] = {}
-
         def close(blocks: list) -> pa.RecordBatch:
-            lines, counts, own = _merged(blocks, support)
-            for head, n in own.items():
-                words[head] = words.get(head, 0) + n
-            pairs = [line.decode("utf-8", "replace").split("\t") for line in lines]
-            return rows([(_restored(a), b, b.count(" ") + 1, n) for (a, b), n in zip(pairs, counts.tolist())])
-
-        def rows(found: list[tuple]) -> pa.RecordBatch:
-            cols = list(zip(*found)) or [()] * 4
+            rows = []
+            for line, n in zip(*_merged(blocks, support)):
+                lang, _, phrase = line.decode("utf-8", "replace").partition("\t")
+                rows.append((_restored(lang), phrase or None, phrase.count(" ") + 1 if phrase else 0, n))
+            cols = list(zip(*rows)) or [()] * 4
             kinds = (pa.string(), pa.string(), pa.int32(), pa.int64())
             return record({f.split()[0]: pa.array(c, k) for f, c, k in zip(FREQUENT.split(", "), cols, kinds)})
 
         bucket, held = None, []
         for batch in batches:
-            for b, shard, phrases, counts in zip(*(batch.column(i).to_pylist() for i in (0, 1, 3, 4))):
+            for b, *block in zip(*(batch.column(i).to_pylist() for i in (0, 1, 3, 4, 5))):
                 if b != bucket and held:
                     yield close(held)
                     held = []
                 bucket = b
-                held.append((shard, phrases, counts))
+                held.append(block)
         if held:
             yield close(held)
-        yield rows([(_restored(head.decode()), None, 0, n) for head, n in words.items()])
         release()
 
     return dealt.mapInArrow(run, FREQUENT)
