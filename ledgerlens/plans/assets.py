@@ -46,8 +46,30 @@ def latest_equipment_status(v_equi: DataFrame, jcds: DataFrame, tj30t: DataFrame
                        F.col("udate").alias("dt_modificacao"), F.col("utime").alias("hr_modificacao"))
 
 
+def only_serials(serials: DataFrame, anla: DataFrame, v_equi: DataFrame, jcds: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The asset, equipment and status rows that the register rows of ``serials`` (one column) are made of.
+
+    Semi joins on what the register joins on: the asset and its attached implement, the
+    equipment, its status history. Every other input hangs on these.
+    """
+    s = serials.select(F.trim(serials.columns[0]).alias("__serial")).distinct()
+    main = anla.join(s, F.trim(anla["anln1"]) == s["__serial"], "left_semi")
+    attached = main.select(F.trim("invnr").alias("__serial"))
+    both = s.unionByName(attached).distinct()
+    machines = anla.join(both, F.trim(anla["anln1"]) == both["__serial"], "left_semi")
+    equipment = v_equi.join(s, F.trim(v_equi["equnr"]) == s["__serial"], "left_semi")
+    objects = equipment.select(F.trim("objnr").alias("__object")).distinct()
+    return machines, equipment, jcds.join(objects, F.trim(jcds["objnr"]) == objects["__object"], "left_semi")
+
+
 def assets(anla: DataFrame, anlc: DataFrame, v_equi: DataFrame, jcds: DataFrame, tj30t: DataFrame,
-           iflos: DataFrame, t087t: DataFrame, as_of=None) -> DataFrame:
+           iflos: DataFrame, t087t: DataFrame, as_of=None, serials: DataFrame | None = None) -> DataFrame:
+    """V3. With ``serials`` (one column) only the register rows of these machines, and only they are ranked."""
+    if serials is not None:
+        anla, v_equi, jcds = only_serials(serials, anla, v_equi, jcds)
+        asked = serials.select(F.trim(serials.columns[0]).alias("__asked")).distinct()
+        return assets(anla, anlc, v_equi, jcds, tj30t, iflos, t087t, as_of).join(
+            asked, F.col("numero_armac") == F.col("__asked"), "left_semi")
     main = anla.filter((F.col("anln2") == K.MAIN_ASSET_SUBNUMBER)
                        & prefix_not_in("anln1", 2, K.ASSET_EXCLUDED_PREFIXES))
     main = main.withColumn("k_anln1", F.trim("anln1")).withColumn("k_invnr", F.trim("invnr"))

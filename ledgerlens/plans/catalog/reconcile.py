@@ -184,6 +184,6 @@ def q_dedupe_keep_null(spark, sf):
         .otherwise(F.concat(F.col("l_orderkey").cast("string"), F.lit("-"), F.col("l_returnflag")))
     k = li.withColumn("dedupe_key", key)
     order = [F.col(c).asc() for c in ["l_linenumber", "l_partkey", "l_suppkey", *_LINE_TIES]]
-    return dedupe_keep_null(k, "dedupe_key", order).select(
+    return dedupe_keep_null(k, "dedupe_key", order, stored=True).select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag", "dedupe_key")
 

@@ -20,6 +20,11 @@ def _live_headers(vbrk: DataFrame) -> DataFrame:
     return vbrk.filter(~F.col("fkart").isin(K.CANCELLATION_INVOICE_TYPES) & (F.col("fksto") == ""))
 
 
+def sold_serials(vbrp: DataFrame, vbrk: DataFrame) -> DataFrame:
+    """Serial numbers on live sale lines: the machines whose register rows the view needs."""
+    return semi_filter(_sale_items(vbrp), _live_headers(vbrk).select("vbeln"), "vbeln").select("charg").distinct()
+
+
 def sale_prices(prcd_elements: DataFrame, vbrp: DataFrame, vbrk: DataFrame) -> DataFrame:
     """Interest / net price per (condition doc, item), only for conditions of a live sale line.
 
