@@ -5,17 +5,20 @@ A document's ids (its text's, then a separator) are cut into pieces of at most
 falling length to the open sequence with the least room that still holds them,
 found in a segment tree over the remaining capacities: logarithmic in ``limit``.
 
-Only ``(id, piece, start, length, crc)`` of a piece is shuffled; ids stay where the
-text was read. Pieces are dealt round robin into groups of about ``GROUP_DOCS``
-documents' pieces, each packed on its own: a group leaves at most one sequence that
-is less than half full, so the loss against one global packing is a fraction of a
-sequence per group, and no task grows with the input.
+Only lengths matter to the packing, and they are whole numbers up to ``limit``: the
+histogram of all lengths (at most ``limit`` numbers) is packed on the driver, equal
+pieces and equal bins at once (``plan``). The corpus is packed as one, not group by
+group. Each piece then finds its place by its rank among the pieces of its length:
+ranks are counted per length and deal, so a length that a third of the pieces share is
+spread over as many tasks as the session shuffles into. Only ``(id, piece, start,
+length, crc)`` of a piece is shuffled; ids stay where the text was read.
 
 Ids are the tokenizers library's. White-space separated chunks are encoded
 independently there (white space is dropped, no token crosses it), so they are kept
 in a bounded worker cache. Chunks of plain Latin text that the worker has not met
 are merged together with the vocabulary's own rules; any other chunk goes through
-the library itself.
+the library itself. The rules are read once, on the driver; workers get them as
+arrays of a fixed size.
 
 Edge cases: null text is empty: one piece, the separator alone; repeated or null
 ids have their own pieces; a document of any length is encoded whole; an empty
@@ -28,31 +31,37 @@ import json
 import os
 import re
 import zlib
+from collections import Counter
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ledgerlens.llm.bpe import byte_alphabet
-from ledgerlens.llm.common import LOWER_AZ, record, release, slices, small_batches, text_bytes
+from ledgerlens.llm.common import LOWER_AZ, record, shuffle_width, slices, small_batches, text_bytes
 from ledgerlens.llm.pairindex import PairIndex
 from ledgerlens.llm.pieces import worker_cache
+from ledgerlens.session import checkpoint_dir
 
 FILE = "word_bpe_49k.json"
-SLICE_BYTES = 8_000_000
-GROUP_DOCS = 8192
-CACHE_ENTRIES = 600_000
+SLICE_BYTES = 3_000_000
+CACHE_ENTRIES = 300_000
 # Chunks of these characters alone have a known normal form; their pre-tokens.
 _PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ]+")
 _TOKENS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
 
 
 class WordVocabulary:
-    """Ids of white-space chunks under a lower-casing word-end BPE file."""
+    """Ids of white-space chunks under a lower-casing word-end BPE file.
+
+    Made once, where the file is; what it keeps is arrays of the file's size, so it
+    travels to the workers whole. The library itself is loaded where it is needed.
+    """
 
     def __init__(self, path: str):
         self.path, self.library = path, None
@@ -73,6 +82,9 @@ class WordVocabulary:
         self.marks = {m: np.array([ids[m.decode() + end]], self.kind).tobytes() for m in (b".", b",")}
         self.split_special = re.compile(b"(" + b"|".join(map(re.escape, self.special)) + b")") if self.special else None
 
+    def __getstate__(self):
+        return self.__dict__ | {"library": None}
+
     def _library(self):
         """The library's tokenizer, loaded when the first odd chunk comes."""
         if self.library is None:
@@ -148,14 +160,9 @@ class WordVocabulary:
         return [b"".join([p if isinstance(p, bytes) else b"".join(values[p[0]:p[1]]) for p in plan]) for plan in plans]
 
 
-_loaded: dict[str, WordVocabulary] = {}
-
-
+@lru_cache(maxsize=2)
 def vocabulary(path: str) -> WordVocabulary:
-    if path not in _loaded:
-        _loaded[path] = WordVocabulary(path)
-        release()
-    return _loaded[path]
+    return WordVocabulary(path)
 
 
 PIECES = "piece int, start long, length long, ids_crc32 long, deal long"
@@ -169,13 +176,13 @@ def pieces_of(docs: DataFrame, limit: int, id_col: str = "doc_id", text_col: str
     """
     small_batches(docs)
     path = path or public_tokenizers.path(FILE)
+    shared = docs.sparkSession.sparkContext.broadcast(vocabulary(path))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        cache = worker_cache(("words", path), lambda: lambda chunks: vocabulary(path).encode_chunks(chunks, cache.get),
-                             CACHE_ENTRIES)
-        v = vocabulary(path)
+        v = shared.value
+        cache = worker_cache(("words", path), lambda: lambda chunks: v.encode_chunks(chunks, cache.get), CACHE_ENTRIES)
         end = np.array([separator], v.kind).tobytes()
         width = np.dtype(v.kind).itemsize
         deal = TaskContext.get().partitionId()
@@ -206,11 +213,12 @@ class Capacities:
     def __init__(self, limit: int):
         self.leaves = 1 << limit.bit_length()
         self.tree = [0] * (2 * self.leaves)
-        self.bins: list[list[int]] = [[] for _ in range(limit + 1)]
+        self.runs: list[list[tuple[int, int]]] = [[] for _ in range(limit + 1)]  # first bin, number of bins
 
-    def put(self, bin_: int, room: int) -> None:
-        self.bins[room].append(bin_)
-        self._change(room, 1)
+    def put(self, first: int, count: int, room: int) -> None:
+        """``count`` bins from ``first`` on, each with ``room``."""
+        self.runs[room].append((first, count))
+        self._change(room, count)
 
     def _change(self, room: int, by: int) -> None:
         node = self.leaves + room
@@ -218,8 +226,8 @@ class Capacities:
             self.tree[node] += by
             node >>= 1
 
-    def take(self, least: int) -> tuple[int, int] | None:
-        """The bin with the least room of at least ``least``, taken out, and its room."""
+    def take(self, least: int) -> tuple[int, int, int] | None:
+        """A run of bins with the least room of at least ``least``, taken out: first, number, room."""
         tree, node = self.tree, self.leaves + least
         if not tree[node]:
             while node > 1 and (node & 1 or not tree[node + 1]):
@@ -232,46 +240,110 @@ class Capacities:
                 if not tree[node]:
                     node += 1
         room = node - self.leaves
-        bin_ = self.bins[room].pop()
-        self._change(room, -1)
-        return bin_, room
+        first, count = self.runs[room].pop()
+        self._change(room, -count)
+        return first, count, room
+
+
+def plan(histogram: dict[int, int], limit: int) -> list[tuple[int, int, int, int, int]]:
+    """Best-fit decreasing over counted lengths: ``length, rank, each, bin, offset`` runs, by length and rank.
+
+    Pieces of ``length`` from ``rank`` on go to bins from ``bin`` on, ``each`` to a bin, side by side from
+    ``offset``. A bin that has taken a piece and still holds another of the length is the tightest for the
+    next one, so pieces fill a bin before they go on: equal pieces and equal bins are placed together.
+    """
+    open_, made, out = Capacities(limit), 0, []
+    for n in sorted(histogram, reverse=True):
+        left, rank = histogram[n], 0
+        while left:
+            found = open_.take(n)
+            if found is None:
+                count = -(-left // (limit // n))
+                found, made = (made, count, limit), made + count
+            first, count, room = found
+            each = room // n
+            full = min(count, left // each)
+            if full:
+                out.append((n, rank, each, first, limit - room))
+                if room - each * n:
+                    open_.put(first, full, room - each * n)
+                left, rank, first, count = left - full * each, rank + full * each, first + full, count - full
+            if left and count:  # fewer than a bin takes: one bin, then none of this length is left
+                out.append((n, rank, left, first, limit - room))
+                if room - left * n:
+                    open_.put(first, 1, room - left * n)
+                left, first, count = 0, first + 1, count - 1
+            if count:
+                open_.put(first, count, room)
+    return sorted(out)
 
 
 def best_fit(lengths: list[int], limit: int) -> tuple[list[int], list[int]]:
     """Bin and offset of each piece; ``lengths`` fall and lie between 1 and ``limit``."""
-    open_, made = Capacities(limit), 0
-    bins, offsets = [], []
+    bins, offsets, rank = [], [], {}
+    runs = plan(Counter(lengths), limit)
+    places = Places(runs)
     for n in lengths:
-        found = open_.take(n)
-        if found is None:
-            found, made = (made, limit), made + 1
-        bin_, room = found
-        bins.append(bin_)
-        offsets.append(limit - room)
-        if room > n:
-            open_.put(bin_, room - n)
+        rank[n] = rank.get(n, -1) + 1
+        bin_, offset = places.of(np.array([n]), np.array([rank[n]]))
+        bins.append(int(bin_[0]))
+        offsets.append(int(offset[0]))
     return bins, offsets
 
 
-def pack(pieces: DataFrame, limit: int, groups: int) -> DataFrame:
-    """``pieces`` with ``sequence_id`` and ``offset``: each of ``groups`` groups packed on its own."""
-    cols = ["id", "piece", "start", "length", "ids_crc32"]
-    rows = pieces.select(*cols, F.pmod("deal", F.lit(groups)).alias("pack_group"))
+class Places:
+    """The runs of a plan as arrays, to look up many pieces at once."""
 
-    def one(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values(["length", "ids_crc32", "id", "piece"], ascending=[False, True, True, True], kind="stable")
-        bins, offsets = best_fit(frame["length"].tolist(), limit)
-        out = frame[cols].copy()
-        out["sequence_id"] = frame["pack_group"].to_numpy(np.int64) * (1 << 32) + np.array(bins, np.int64)
-        out["offset"] = np.array(offsets, np.int64)
-        return out
+    def __init__(self, runs: list[tuple[int, int, int, int, int]]):
+        self.length, self.rank, self.each, self.bin, self.offset = np.array(runs, np.int64).reshape(-1, 5).T.copy()
+        self.wide = int(self.rank.max(initial=0)) + 1
+
+    def of(self, length: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Bin and offset of pieces by length and rank among the pieces of that length."""
+        first = np.searchsorted(self.length, length, "left")
+        last = np.searchsorted(self.length, length, "right")
+        while (last - first > 1).any():  # halve the runs of the length until one is left
+            mid = (first + last) // 2
+            up = (last - first > 1) & (self.rank[np.minimum(mid, len(self.rank) - 1)] <= rank)
+            first, last = np.where(up, mid, first), np.where(up | (last - first <= 1), last, mid)
+        nth = rank - self.rank[first]
+        return self.bin[first] + nth // self.each[first], self.offset[first] + nth % self.each[first] * length
+
+
+COLUMNS = ["id", "piece", "start", "length", "ids_crc32"]
+
+
+def ranked(pieces: DataFrame) -> DataFrame:
+    """``COLUMNS`` and ``rank``: a number of each piece among those of its length, without a gap."""
+    width = shuffle_width(pieces.sparkSession)
+    dealt = pieces.select(*COLUMNS, F.pmod("deal", F.lit(width)).cast("int").alias("part"))
+    order = ["ids_crc32", F.col("id").asc_nulls_first(), "piece", "start"]
+    numbered = dealt.withColumn("nth", F.row_number().over(Window.partitionBy("length", "part").orderBy(*order)))
+    counts = dealt.groupBy("length", "part").agg(F.count(F.lit(1)).alias("n"))
+    before = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select(F.col("length").alias("own_length"), F.col("part").alias("own_part"),
+                           F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start_rank"))
+    return numbered.join(starts, (F.col("length") == F.col("own_length")) & (F.col("part") == F.col("own_part"))).select(
+        *COLUMNS, (F.col("start_rank") + F.col("nth") - 1).alias("rank"))
+
+
+def pack(pieces: DataFrame, limit: int) -> DataFrame:
+    """``pieces`` with ``sequence_id`` and ``offset``. They are read several times and must not change: give a written table."""
+    counted = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
+    shared = pieces.sparkSession.sparkContext.broadcast(Places(plan(counted, limit)))
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bin_, offset = shared.value.of(np.asarray(batch.column(3)), np.asarray(batch.column(5)))
+            own = dict(zip(COLUMNS, batch.columns))
+            yield record(own | {"sequence_id": pa.array(bin_, pa.int64()), "offset": pa.array(offset, pa.int64())})
 
     id_type = pieces.schema["id"].dataType.simpleString()
-    return rows.groupBy("pack_group").applyInPandas(
-        one, f"id {id_type}, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")
+    return ranked(pieces).mapInArrow(place, f"id {id_type}, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")
 
 
 def pack_documents(docs: DataFrame, limit: int = 2048, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """All documents' pieces with their places. Counting the documents reads no text."""
-    groups = max(1, -(-docs.select(id_col).count() // GROUP_DOCS))
-    return pack(pieces_of(docs, limit, id_col, text_col), limit, groups)
+    """All documents' pieces with their places. Texts are encoded once: the pieces (some 40 bytes each) are written before
+    they are counted, so a lost executor cannot change them between the count and the packing."""
+    checkpoint_dir(docs.sparkSession)
+    return pack(pieces_of(docs, limit, id_col, text_col).checkpoint(), limit)
