@@ -368,15 +368,20 @@ def links(docs: DataFrame, table: DataFrame, n: int, num: int, den: int, text_co
     return first.unionByName(second).checkpoint()
 
 
-def near_duplicates(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id",
-                    text_col: str = "text") -> DataFrame:
-    """``id, n_shingles, component_id`` per row."""
+def _labelled(docs: DataFrame, n: int, num: int, den: int, id_col: str, text_col: str) -> DataFrame:
+    """``id, hash, n, label`` per row: rows of one component share a label."""
     checkpoint_dir(docs.sparkSession)
     table = classes(docs, n, id_col, text_col).checkpoint()
     roots = components(links(docs, table, n, num, den, text_col))
     named = equi_split(table, roots, "cls", "node", "left").select(
-        "id", "n", F.coalesce("root", "cls").alias("label"))
-    named = named.withColumn("label", F.coalesce("label", F.encode(F.concat(F.lit("alone "), F.coalesce(F.col("id").cast("string"), F.lit(""))), "utf-8")))
+        "id", "hash", "n", F.coalesce("root", "cls").alias("label"))
+    return named.withColumn("label", F.coalesce("label", F.encode(F.concat(F.lit("alone "), F.coalesce(F.col("id").cast("string"), F.lit(""))), "utf-8")))
+
+
+def near_duplicates(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id",
+                    text_col: str = "text") -> DataFrame:
+    """``id, n_shingles, component_id`` per row."""
+    named = _labelled(docs, n, num, den, id_col, text_col).drop("hash")
     least = named.filter("n > 0").groupBy(F.col("label").alias("component")).agg(F.min("id").alias("least_id"))
     return equi_split(named, least, "label", "component", "left").select(
         "id", F.col("n").alias("n_shingles"), F.coalesce("least_id", "id").alias("component_id"))
@@ -384,11 +389,28 @@ def near_duplicates(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100,
 
 def keep_representatives(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id",
                          text_col: str = "text") -> DataFrame:
-    """One row of each component, with all its columns: the one with the smallest id.
+    """One row of each component, with all its columns: the one with the smallest id (null last), then the smallest text hash.
 
-    Rows that share that id are one document and stay together; run exact dedup first.
+    Rows are told apart by id and text: rows that share an id, or have none, stay or go
+    each by its own text. Of rows repeated with one id and text, one stays. Rows without
+    words are linked with nothing and stay.
     """
-    found = near_duplicates(docs, n, num, den, id_col, text_col)
-    gone = found.filter(~F.col("id").eqNullSafe(F.col("component_id"))).select(F.col("id").alias("__gone")).distinct().checkpoint()
-    asked, rest = split_by_ids(docs, id_col, gone)
-    return asked.join(gone, asked[id_col].eqNullSafe(gone["__gone"]), "left_anti").unionByName(rest)
+    named = _labelled(docs, n, num, den, id_col, text_col).filter("n > 0")
+    rows = named.groupBy("label", "id", "hash").agg(F.count(F.lit(1)).alias("copies"))
+    rank = F.struct(F.col("id").isNull().alias("no_id"), F.col("id").alias("best_id"), F.col("hash").alias("best_hash"))
+    best = rows.groupBy(F.col("label").alias("component")).agg(F.min(rank).alias("best")).select(
+        "component", "best.best_id", "best.best_hash")
+    stays = F.col("id").eqNullSafe(F.col("best_id")) & (F.col("hash") == F.col("best_hash"))
+    marks = equi_split(rows, best, "label", "component", "inner").withColumn("__stays", stays).filter(
+        ~stays | (F.col("copies") > 1)).select("id", *_key(F.col("id"), F.col("hash")), "__stays").checkpoint()
+    asked, rest = split_by_ids(docs, id_col, marks.select("id"))
+    keys = ["__id", "__has_id", "__hash"]
+    tagged = asked.select("*", *_key(F.col(id_col), F.xxhash64(whole_text(F.col(text_col)))))
+    told = tagged.join(marks.select(*keys, "__stays"), keys, "left")
+    kept = told.filter(F.col("__stays").isNull()).unionByName(told.filter("__stays").dropDuplicates(keys))
+    return kept.select(*[F.col("`" + c.replace("`", "``") + "`") for c in docs.columns]).unionByName(rest)
+
+
+def _key(id_: Column, hash_: Column) -> list[Column]:
+    """An id and a text hash as columns without nulls, for joining and grouping alike."""
+    return [F.coalesce(id_.cast("string"), F.lit("")).alias("__id"), id_.isNotNull().alias("__has_id"), hash_.alias("__hash")]
