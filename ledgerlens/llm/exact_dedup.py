@@ -25,6 +25,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ledgerlens.llm.common import WHITE, crowded, equi_split, split_by_ids, whole_text
 from ledgerlens.session import checkpoint_dir
@@ -88,20 +89,26 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows that stay, with all their columns: one per group of equal texts.
+    """The rows that stay, with all their columns: one per group of equal texts, the one ``exact_dedup`` keeps.
 
-    Decisions are made on ids and hashes. Rows whose id is not among those of
-    dropped rows stay where they are; the others are shuffled once, by id and
-    hash, to pick the ones that stay. Of rows repeated with one id and text, one stays.
+    Decisions are made on ids and hashes of shared texts. Rows whose id is not among
+    those of dropped rows stay where they are; the others are shuffled once, by id and
+    hash. Of rows repeated with one id and equal text, the one with the most code points
+    stays (then the first by its text).
     """
     checkpoint_dir(docs.sparkSession)
-    found = exact_dedup(docs, id_col, text_col, digest=True).select("id", "kept", "full").checkpoint()
-    asked, rest = split_by_ids(docs, id_col, found.filter(~F.col("kept")).select("id"))
-    name, known = "__id", "__has_id"
-    kept = found.filter("kept").select(*_named(F.col("id"), name, known), F.col("full").alias("__full"))
-    tagged = asked.select("*", *_named(F.col(id_col), name, known), F.sha2(normalised(F.col(text_col)), 256).alias("__full"))
-    keys = [name, known, "__full"]
-    return tagged.join(kept, keys, "left_semi").select(*tagged.columns).dropDuplicates(keys).drop(*keys).unionByName(rest)
+    found = exact_dedup(docs, id_col, text_col).filter(F.col("group_size") > 1).select("id", "kept", "full")
+    marks = found.groupBy("id", "full").agg(F.max("kept").alias("stays"), F.min("kept").alias("all_stay")).filter(
+        ~F.col("all_stay")).select("id", F.col("full").alias("__full"), F.col("stays").alias("__stays"),
+                                   *_named(F.col("id"), "__id", "__has_id")).checkpoint()
+    asked, rest = split_by_ids(docs, id_col, marks.select("id"))
+    keys = ["__id", "__has_id", "__full"]
+    tagged = asked.select("*", *_named(F.col(id_col), "__id", "__has_id"), F.sha2(normalised(F.col(text_col)), 256).alias("__full"))
+    told = tagged.join(marks.select(*keys, "__stays"), keys, "left")
+    order = Window.partitionBy(*keys).orderBy(F.char_length(whole_text(F.col(text_col))).desc(), whole_text(F.col(text_col)))
+    repeated = told.filter("__stays").withColumn("__nth", F.row_number().over(order)).filter("__nth = 1").drop("__nth")
+    kept = told.filter(F.col("__stays").isNull()).unionByName(repeated)
+    return kept.select(*[F.col("`" + c.replace("`", "``") + "`") for c in docs.columns]).unionByName(rest)
 
 
 def _named(id_: Column, name: str, known: str) -> list[Column]:
