@@ -142,7 +142,7 @@ def _part(p: dict):
     raise ValueError(f"unknown part type {kind!r}")
 
 
-PIECES = ("conv long, turn long, position string, piece string, loss_start array<int>, loss_end array<int>, "
+PIECES = ("conv long, turn long, piece string, loss_start array<int>, loss_end array<int>, "
           "attachments array<string>, attachment_tokens long")
 
 
@@ -154,7 +154,7 @@ def _format(batches: Iterator[pa.RecordBatch], learn_roles: frozenset) -> Iterat
             role = role or ""
             done.append(flatten(role, [_part(p) for p in parts or []], role in learn_roles))
         yield record({
-            "conv": batch["conv"], "turn": batch["turn"], "position": batch["position"],
+            "conv": batch["conv"], "turn": batch["turn"],
             "piece": pa.array([d[0] for d in done], pa.string()),
             "loss_start": pa.array([[s for s, _ in d[1]] for d in done], pa.list_(pa.int32())),
             "loss_end": pa.array([[e for _, e in d[1]] for d in done], pa.list_(pa.int32())),
@@ -175,21 +175,26 @@ def format_turns(turns: DataFrame, conv: str = "conv_id", turn: str = "turn", ro
     """One formatted piece per turn: ``PIECES``.
 
     ``parts`` names a column of type ``PART_TYPE``; without it ``text`` is the one
-    part. Loss spans are code point ranges of the piece. ``position`` orders turns
-    that share a number.
+    part. Loss spans are code point ranges of the piece.
     """
     small_batches(turns)
     given = F.col(parts) if parts else text_parts(F.col(text))
     rows = turns.select(F.col(conv).cast("long").alias("conv"), F.col(turn).cast("long").alias("turn"),
                         F.coalesce(F.col(role), F.lit("")).alias("role"), given.alias("parts"))
-    rows = rows.withColumn("position", F.concat("role", F.lit("\n"), F.to_json("parts")))
     learn = frozenset(learn_roles)
     return rows.mapInArrow(lambda batches: _format(batches, learn), PIECES)
 
 
+def _order(piece) -> list:
+    """What orders turns of one number: role, then text, as they were before escaping. Read from the piece where it is
+    sorted, so neither travels twice."""
+    parts = [F.regexp_extract(piece, PIECE.pattern.replace(".*?", "[\\s\\S]*?"), k) for k in (1, 2)]
+    return [F.regexp_replace(p, _MARKED.pattern, "<$1").alias(n) for p, n in zip(parts, ("by_role", "by_text"))]
+
+
 def conversation_text(pieces: DataFrame) -> DataFrame:
     """``conv, formatted``: a conversation's pieces in order as one string, for conversations that fit one row."""
-    rows = F.array_sort(F.collect_list(F.struct("turn", "position", "piece")))
+    rows = F.array_sort(F.collect_list(F.struct("turn", *_order(F.col("piece")), "piece")))
     return pieces.groupBy("conv").agg(F.array_join(F.transform(rows, lambda x: x["piece"]), "").alias("formatted"))
 
 
@@ -248,6 +253,6 @@ def read_back(pieces: DataFrame) -> DataFrame:
     running hashes, never a conversation.
     """
     width = shuffle_width(pieces.sparkSession)
-    return (pieces.select("conv", "turn", "position", "piece", "loss_start", "loss_end")
-            .repartition(width, "conv").sortWithinPartitions("conv", "turn", "position")
+    return (pieces.select("conv", "turn", "piece", "loss_start", "loss_end")
+            .repartition(width, "conv").select("*", *_order(F.col("piece"))).sortWithinPartitions("conv", "turn", "by_role", "by_text")
             .select("conv", "piece", "loss_start", "loss_end").mapInArrow(_read, READ))
