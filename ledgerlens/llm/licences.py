@@ -60,8 +60,6 @@ TEMPLATES = [
 ]
 STEMS = "(?i)licens|permission|redistribut"
 TEMPLATE_WORDS, LEAST_SCORE = 10, 0.6
-# Indexed words of a file that the DuckDB form reads; ``scan`` reads all, so the two agree on files with no more than these.
-FILE_WORDS = 32
 
 
 def index() -> list[tuple[str, str, int, int, int]]:
@@ -164,14 +162,13 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
 
 
 def oracle_sql() -> str:
-    """The same scan as DuckDB SQL over documents with unique ids and at most ``FILE_WORDS`` indexed words each."""
+    """The same scan as DuckDB SQL over documents with unique ids."""
     def values(rows):
         return ", ".join("(" + ", ".join(f"'{x}'" if isinstance(x, str) else str(x) for x in r) + ")" for r in rows)
 
     phrases = values([(p, label, len(p.split())) for p, label in BASE.items()])
     return f"""
 WITH postings(word, label, position, weight, is_key) AS (VALUES {values(index())}),
-vocab(word, weight) AS (VALUES {values(vocabulary())}),
 phrases(phrase, label, n) AS (VALUES {phrases}),
 whole AS (SELECT label, sum(weight) AS weight, sum(is_key) AS keys FROM postings GROUP BY label),
 files AS (
@@ -184,12 +181,9 @@ base AS (
     ON p.word = split_part(q.phrase, ' ', 1)
    AND array_to_string(list_slice(f.words, p.place + 1, p.place + q.n), ' ') = q.phrase
   GROUP BY f.doc_id),
-heavy AS (
-  SELECT doc_id, word FROM (SELECT DISTINCT doc_id, word FROM places) JOIN vocab USING (word)
-  QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY weight DESC, word) <= {FILE_WORDS}),
 sums AS (
   SELECT p.doc_id, q.label, p.place - q.position AS start, sum(q.weight) AS got, sum(q.is_key) AS keys
-  FROM places p JOIN heavy USING (doc_id, word) JOIN postings q ON q.word = p.word GROUP BY ALL),
+  FROM places p JOIN postings q ON q.word = p.word GROUP BY ALL),
 found AS (
   SELECT s.doc_id, list(s.label) AS labels, max(s.got / w.weight) AS score
   FROM sums s JOIN whole w USING (label)

@@ -145,3 +145,30 @@ def test_suffix_filter_never_prunes_a_real_overlap():
         x = np.unique(rng.integers(0, 500, rng.integers(1, 200)).astype(np.uint64))
         y = np.unique(rng.integers(0, 500, rng.integers(1, 200)).astype(np.uint64))
         assert ngram_join.overlap_bound(x, y) >= len(np.intersect1d(x, y))
+
+
+BASE_TEXT = " ".join(f"alpha{i} beta{i} gamma{i}" for i in range(40))
+NEAR_TEXT = BASE_TEXT + " omega"
+OTHER = [" ".join(f"{w}{i} x{i} y{i}" for i in range(30)) for w in ("red", "green", "blue")]
+
+
+def test_near_copies_go_by_id_and_text(make_docs):
+    """A near copy without an id, or with an id that another text has too, takes no other row with it."""
+    rows = [(1, BASE_TEXT), (None, NEAR_TEXT), (None, OTHER[0]), (5, BASE_TEXT + " tail"), (5, OTHER[1]), (7, OTHER[2]), (7, OTHER[2]),
+            (None, OTHER[0] + " end"), (9, ""), (9, ""), (None, None)]
+    docs = make_docs(rows)
+    got = ngram_join.keep_representatives(docs, n=5, num=80, den=100)
+    assert got.columns == docs.columns
+    left = [(r["doc_id"], r["text"]) for r in got.collect()]
+    rest = [x for x in left if x[1] not in (OTHER[0], OTHER[0] + " end")]
+    assert sorted(map(repr, rest)) == sorted(map(repr, [(1, BASE_TEXT), (5, OTHER[1]), (7, OTHER[2]), (9, ""), (9, ""), (None, None)]))
+    assert len(left) - len(rest) == 1  # one of the two texts of the pair without ids
+
+
+def test_exact_stage_keeps_the_longest_of_repeated_ids(make_docs):
+    rows = [(1, "a b c"), (1, "a  b   c"), (1, "other"), (2, "abc"), (None, "x y"), (None, "x  y"), (None, "z"), (3, ""), (4, None), (5, "alone")]
+    docs = make_docs(rows)
+    got = exact_dedup.drop_exact_copies(docs)
+    assert got.columns == docs.columns
+    assert sorted(map(repr, [(r["doc_id"], r["text"]) for r in got.collect()])) == sorted(map(repr, [
+        (1, "a  b   c"), (1, "other"), (None, "x  y"), (None, "z"), (3, ""), (5, "alone")]))

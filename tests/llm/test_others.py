@@ -239,3 +239,23 @@ def test_language_of_odd_rows(make_docs, odd_rows):
     none = langid.train(docs.filter("doc_id > 1000"))
     assert {r["lang_pred"] for r in langid.identify(docs, none).collect()} == {"und"}
     assert langid.identify(docs.filter("doc_id > 1000"), model).count() == 0
+
+
+def test_turns_of_one_number_go_by_role_and_text(spark):
+    """Ties are in text order, whatever the characters are written as inside a piece."""
+    import hashlib
+    texts = ["a\nb", "a!b", "a", "a b", "<|end|>", "<", "é", "\\", '"', "a\tb"]
+    rows = [(1, 0, "user", x) for x in texts] + [(1, 0, "assistant", x) for x in texts[:4]] + [(1, 0, None, "z"), (1, None, "user", None)]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = chat.read_back(chat.format_turns(turns)).collect()
+    order = sorted(((-1 if t is None else t), r or "", (x or "")) for _, t, r, x in rows)
+    order.sort(key=lambda k: (k[0], k[1].encode(), k[2].encode()))
+    want = hashlib.sha256("".join(f"{r}\n{x}\n" for _, r, x in order).encode()).hexdigest()
+    learnt = hashlib.sha256("".join(x for _, r, x in order if r == "assistant").encode()).hexdigest()
+    assert [(r["n_turns"], r["turns_sha256"], r["loss_sha256"]) for r in got] == [(len(rows), want, learnt)]
+
+
+def test_all_notices_in_one_text(make_docs):
+    notices = ". ".join(text for _, text, _ in licences.TEMPLATES)
+    got = licences.scan(make_docs([(1, notices)])).collect()[0]
+    assert set(got["labels"]) >= {label for label, _, _ in licences.TEMPLATES} and got["score"] == 1.0

@@ -247,3 +247,33 @@ def test_digests_are_the_contract_s(make_docs):
     r = bpe.encode(make_docs([(1, "Hello world")])).first()
     want = byte_lib.encode("Hello world", add_special_tokens=False).ids
     assert hashlib.sha256(r["ids"]).hexdigest() == hashlib.sha256(np.array(want, "<u4").tobytes()).hexdigest()
+
+
+def test_packing_keeps_large_ids_beside_null_ones(make_docs):
+    rows = [(None, "one"), (2**53 + 1, "two words"), (2**53 + 3, "three more words"), (-(2**62) - 1, "four")]
+    out = packing.pack_documents(make_docs(rows), 64).collect()
+    assert sorted(map(str, (r["id"] for r in out))) == sorted(str(i) for i, _ in rows)
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.dictionaries(st.integers(1, 50), st.integers(1, 400), max_size=12))
+def test_plan_of_a_histogram_is_best_fit_of_its_pieces(histogram):
+    """Equal pieces placed at once fill the bins that placing them one by one fills."""
+    runs = packing.plan(histogram, 50)
+    places = packing.Places(runs)
+    rooms = {}
+    for n in sorted(histogram, reverse=True):
+        bins, offsets = places.of(np.full(histogram[n], n), np.arange(histogram[n]))
+        for b, o in zip(bins.tolist(), offsets.tolist()):
+            assert o == rooms.get(b, 0)  # side by side, no gap, no overlap
+            rooms[b] = o + n
+    assert all(r <= 50 for r in rooms.values()) and sorted(rooms) == list(range(len(rooms)))
+    open_ = []
+    for n in sorted(histogram, reverse=True):
+        for _ in range(histogram[n]):
+            fits = [i for i, r in enumerate(open_) if r >= n]
+            if fits:
+                open_[min(fits, key=lambda i: open_[i])] -= n
+            else:
+                open_.append(50 - n)
+    assert sorted(open_) == sorted(50 - r for r in rooms.values())
