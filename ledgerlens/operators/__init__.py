@@ -1,4 +1,4 @@
-"""DataFrame -> DataFrame operators (no actions, no Python UDFs)."""
+"""DataFrame -> DataFrame operators. No Python UDFs; no actions but the key counts of a range join."""
 
 from ledgerlens.operators.aggregate import max_or_zero, pivot_by_key, sum_of_sums
 from ledgerlens.operators.lookup import (fallback_lookup, fanout_audit, lookup_join, semi_filter,
