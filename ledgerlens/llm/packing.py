@@ -43,16 +43,16 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ledgerlens.llm.bpe import byte_alphabet
-from ledgerlens.llm.common import LOWER_AZ, record, shuffle_width, slices, small_batches, text_bytes
+from ledgerlens.llm.common import LOWER_AZ, WHITE_BYTES, record, shuffle_width, slices, small_batches, text_bytes
 from ledgerlens.llm.pairindex import PairIndex
 from ledgerlens.llm.pieces import worker_cache
 from ledgerlens.session import checkpoint_dir
 
 FILE = "word_bpe_49k.json"
-SLICE_BYTES = 3_000_000
-CACHE_ENTRIES = 300_000
+SLICE_BYTES, CACHE_ENTRIES = 8_000_000, 600_000
 # Chunks of these characters alone have a known normal form; their pre-tokens.
 _PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ]+")
+_GAP = np.isin(np.arange(256), list(WHITE_BYTES))
 _TOKENS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
 
 
@@ -142,6 +142,37 @@ class WordVocabulary:
 
     def encode(self, texts: list[bytes], cache) -> list[bytes]:
         """Ids of whole UTF-8 texts as bytes of ``kind``; special strings are special tokens."""
+        odd = [bool(self.special) and any(s in t for s in self.special) for t in texts]
+        plain = iter(self._encode_plain([t for t, x in zip(texts, odd) if not x], cache))
+        rare = iter(self._encode_split([t for t, x in zip(texts, odd) if x], cache))
+        return [next(rare) if x else next(plain) for x in odd]
+
+    def _encode_plain(self, texts: list[bytes], cache) -> list[bytes]:
+        """Texts without special strings: each distinct chunk is looked up once, ids are gathered by chunk number."""
+        if not texts:
+            return []
+        chars = np.frombuffer(b" ".join(t.translate(LOWER_AZ) for t in texts), np.uint8)
+        gap = _GAP[chars]
+        edges = np.flatnonzero(np.diff(np.concatenate(([True], gap, [True]))))
+        starts, stops = edges[::2], edges[1::2]
+        offsets = np.concatenate(([0], np.cumsum(stops - starts))).astype(np.int32)
+        words = pa.BinaryArray.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(chars[~gap])]).dictionary_encode()
+        values = cache.values(words.dictionary.to_pylist()) if len(starts) else []
+        width = np.dtype(self.kind).itemsize
+        sizes = np.fromiter(map(len, values), np.int64, len(values)) // width
+        flat = np.frombuffer(b"".join(values), self.kind)
+        first = np.cumsum(sizes) - sizes
+        codes = np.asarray(words.indices, np.int64) if len(starts) else np.zeros(0, np.int64)
+        counts = sizes[codes]
+        ends = np.cumsum(counts)
+        ids = flat[np.repeat(first[codes] - (ends - counts), counts) + np.arange(int(ends[-1]) if len(ends) else 0)].tobytes()
+        # a text's chunks are those that start before the text ends
+        last = np.searchsorted(starts, np.cumsum([len(t) + 1 for t in texts]) - 1)
+        cuts = [0, *(np.concatenate(([0], ends))[last] * width).tolist()]
+        return [ids[a:b] for a, b in zip(cuts, cuts[1:])]
+
+    def _encode_split(self, texts: list[bytes], cache) -> list[bytes]:
+        """Texts that may have special strings: cut there first."""
         keys: list[bytes] = []
         plans = []
         width = np.dtype(self.kind).itemsize
@@ -169,10 +200,12 @@ PIECES = "piece int, start long, length long, ids_crc32 long, deal long"
 
 
 def pieces_of(docs: DataFrame, limit: int, id_col: str = "doc_id", text_col: str = "text", separator: int = 0,
-              path: str | None = None, with_ids: bool = False) -> DataFrame:
+              path: str | None = None, with_ids: bool = False, slice_bytes: int = SLICE_BYTES,
+              cache_entries: int = CACHE_ENTRIES) -> DataFrame:
     """``id`` and ``PIECES`` (and ``ids``, little-endian unsigned 32-bit, if asked for). A narrow step.
 
-    ``deal`` numbers a task's pieces from a start of its own, for dealing them out.
+    ``deal`` numbers a task's pieces from a start of its own, for dealing them out. A
+    worker holds ``slice_bytes`` of text and ``cache_entries`` chunks at a time (some 300 MB as given).
     """
     small_batches(docs)
     path = path or public_tokenizers.path(FILE)
@@ -182,13 +215,13 @@ def pieces_of(docs: DataFrame, limit: int, id_col: str = "doc_id", text_col: str
         from pyspark import TaskContext
 
         v = shared.value
-        cache = worker_cache(("words", path), lambda: lambda chunks: v.encode_chunks(chunks, cache.get), CACHE_ENTRIES)
+        cache = worker_cache(("words", path), lambda: lambda chunks: v.encode_chunks(chunks, cache.get), cache_entries)
         end = np.array([separator], v.kind).tobytes()
         width = np.dtype(v.kind).itemsize
         deal = TaskContext.get().partitionId()
         for batch in batches:
             texts = text_bytes(batch.column(1))
-            for a, b in slices(map(len, texts), SLICE_BYTES):
+            for a, b in slices(map(len, texts), slice_bytes):
                 rows, owner = [], []
                 for i, ids in enumerate(v.encode(texts[a:b], cache), a):
                     ids += end
@@ -342,8 +375,8 @@ def pack(pieces: DataFrame, limit: int) -> DataFrame:
     return ranked(pieces).mapInArrow(place, f"id {id_type}, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")
 
 
-def pack_documents(docs: DataFrame, limit: int = 2048, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def pack_documents(docs: DataFrame, limit: int = 2048, id_col: str = "doc_id", text_col: str = "text", **memory: int) -> DataFrame:
     """All documents' pieces with their places. Texts are encoded once: the pieces (some 40 bytes each) are written before
     they are counted, so a lost executor cannot change them between the count and the packing."""
     checkpoint_dir(docs.sparkSession)
-    return pack(pieces_of(docs, limit, id_col, text_col).checkpoint(), limit)
+    return pack(pieces_of(docs, limit, id_col, text_col, **memory).checkpoint(), limit)
