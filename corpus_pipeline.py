@@ -42,7 +42,8 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents with their places in sequences of ``LIMIT`` tokens."""
-    return packing.pack_documents(docs, limit=LIMIT).withColumnRenamed("id", "doc_id")
+    # workers and heap come grown from four other stages: smaller slices and cache than packing alone would take
+    return packing.pack_documents(docs, limit=LIMIT, slice_bytes=3_000_000, cache_entries=300_000).withColumnRenamed("id", "doc_id")
 
 
 STAGES = [
