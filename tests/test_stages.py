@@ -5,6 +5,7 @@ import threading
 import pytest
 from pyspark.sql import functions as F
 
+from ledgerlens.functions.dates import parse_date, parse_iso_date
 from ledgerlens.operators import dedupe_keep_null
 from ledgerlens.operators.audit import FanoutAudit
 from ledgerlens.plans.assets import assets
@@ -135,6 +136,41 @@ def test_quarantine_takes_rows_that_do_not_parse(spark, tmp_path):
     assert clean.dtypes == [("id", "int"), ("d", "date"), ("v", "decimal(18,2)")]
 
 
+def test_quarantine_parses_each_text_once(spark):
+    df = spark.createDataFrame([(1, "2024-01-31", "1.5")], "id int, d string, v string")
+    out = quarantine.parse_columns(df, {"d": "date", "v": "decimal(18,2)"})
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("gettimestamp(") == 1 and plan.count("as decimal(18,2))") == 1
+
+
+def test_quarantine_is_written_without_a_sort(spark, tmp_path):
+    """The side of a row is known when it is written: no task sorts its rows by it. The session keeps its own setting."""
+    df = spark.range(40).select("id", F.when(F.col("id") % 4 == 0, F.lit("bad")).otherwise(F.lit("2024-01-31")).alias("d"))
+    seen, conf = [], "spark.sql.maxConcurrentOutputFileWriters"
+    write = type(df.write).parquet
+
+    def spy(self, *args, **kw):
+        seen.append(int(spark.conf.get(conf)))
+        return write(self, *args, **kw)
+
+    before = spark.conf.get(conf)
+    type(df.write).parquet = spy
+    try:
+        assert quarantine.ingest(df, {"d": "date"}, str(tmp_path / "in"), "r") == (40, 10, {"d": 10})
+    finally:
+        type(df.write).parquet = write
+    assert seen and seen[0] >= 2 and spark.conf.get(conf) == before
+
+
+def test_iso_dates_are_the_formatter_s(spark):
+    texts = ["2024-01-01", "2024-02-30", "2024-02-29", "2023-02-29", "2024-2-3", "bad-date", "0000-00-00", "0000-01-01", "0001-01-01", "+12024-01-01",
+             "12024-01-01", "-0001-01-01", "-2024-01-01", "+2024-01-01", "2024-01-01 ", " 2024-01-01", "2024-01-01T00:00", "2024/01/01", "20240101",
+             "", None, "9999-12-31", "1582-10-10", "1500-02-29", "2024-13-01", "2024-00-10", "٢٠٢٤-٠١-٠١", "2024-01-0x", "2024-01-01\n", "99999-01-01"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = df.select("t", parse_date("t").cast("string").alias("a"), parse_iso_date(F.col("t")).cast("string").alias("b")).collect()
+    assert [(r.t, r.a) for r in got] == [(r.t, r.b) for r in got] and sum(r.a is not None for r in got) > 5
+
+
 def test_register_of_asked_serials_equals_the_filtered_register(spark):
     t = erp_tables(spark, SMOKE)
     parts = [t[x] for x in ("anla", "anlc", "v_equi", "jcds", "tj30t", "iflos", "t087t")]
