@@ -2,7 +2,8 @@
 
 The distinct pre-tokens of a slice of documents that the worker has not met yet are
 encoded together: the index maps every pair to all its positions, active ranks are
-applied in ascending order and the affected lists updated (``pairindex``).
+applied in ascending order and the affected lists updated (``pairindex``). A slice is
+as many documents as a worker can hold: the ranks are gone through once per slice.
 
 Pre-tokens are found with the public pattern; a token never crosses from a visible
 character into the white space after it, so results are kept per white-space chunk
@@ -19,6 +20,7 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import public_tokenizers
@@ -32,8 +34,11 @@ from ledgerlens.llm.pairindex import PairIndex
 from ledgerlens.llm.pieces import texts_of, worker_cache
 
 FILE = "byte_bpe_50k.json"
-SLICE_CHARS = 2_000_000
+SLICE_CHARS = 6_000_000
+CACHE_ENTRIES = 1_000_000
+FEW = 24
 _CHUNK = re.compile(r"\s*\S+|\s+", re.ASCII)
+_STOPS = frozenset(".,;:!?")
 # White space outside ASCII: texts that have it are not cut into chunks.
 _ODD_SPACE = re.compile("[\x1c-\x1f\x85\xa0  -     　]")
 
@@ -61,7 +66,10 @@ class Vocabulary:
         for rank, pair in enumerate(spec["model"]["merges"]):
             a, b = pair if isinstance(pair, list) else pair.split(" ")
             rules.setdefault((ids[a], ids[b]), (rank, ids[a + b]))
-        self.index = PairIndex(rules, max(ids.values()) + 1)
+        self.index = PairIndex(rules, max(ids.values()) + 1, FEW)
+        table = [self.bytes.get(i) for i in range(max(self.bytes) + 1)]
+        self.table = np.empty(len(table), object)
+        self.table[:] = table
         self.pattern = regex.compile(public_tokenizers.PATTERN)
         self.split_special = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
 
@@ -70,12 +78,21 @@ class Vocabulary:
         symbols = self.of_byte[np.frombuffer(b"".join(words), np.uint8)]
         return self.index.encode(symbols, np.fromiter(map(len, words), np.int64, len(words)), "<u4")
 
+    def pretokens(self, chunk: str) -> tuple[str, ...]:
+        """The pattern's pre-tokens of a chunk. A space and ASCII letters, maybe with a stop, need no pattern."""
+        if chunk[:1] == " " and chunk.isascii():
+            if chunk[1:].isalpha():
+                return (chunk,)
+            if chunk[-1] in _STOPS and chunk[1:-1].isalpha():
+                return chunk[:-1], chunk[-1]
+        return tuple(self.pattern.findall(chunk))
+
     def encode_chunks(self, chunks: list[str]) -> list[bytes]:
         """Ids of each chunk as little-endian unsigned 32-bit integers."""
-        tokens = [self.pattern.findall(c) for c in chunks]
-        words = list(dict.fromkeys(t for own in tokens for t in own))
+        tokens = list(map(self.pretokens, chunks))
+        words = list(dict.fromkeys(chain.from_iterable(tokens)))
         of = dict(zip(words, self.encode_words([w.encode() for w in words])))
-        return [b"".join([of[t] for t in own]) for own in tokens]
+        return [of[own[0]] if len(own) == 1 else b"".join([of[t] for t in own]) for own in tokens]
 
     def chunks(self, text: str) -> list[str]:
         if not text:
@@ -104,7 +121,7 @@ class Vocabulary:
                 for plan in plans]
 
     def decode(self, ids: np.ndarray) -> str:
-        return b"".join(map(self.bytes.__getitem__, ids.tolist())).decode("utf-8", "replace")
+        return b"".join(self.table[ids].tolist()).decode("utf-8", "replace")
 
 
 _loaded: dict[str, Vocabulary] = {}
@@ -128,7 +145,7 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path
     path = path or public_tokenizers.path(FILE)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = worker_cache(("bpe", path), lambda: vocabulary(path).encode_chunks)
+        cache = worker_cache(("bpe", path), lambda: vocabulary(path).encode_chunks, CACHE_ENTRIES)
         v = vocabulary(path)
         for batch in batches:
             texts = texts_of(batch.column(1))

@@ -4,7 +4,9 @@ The words of a batch lie in one array with a border after each. The index maps
 every pair that has a rule to all its positions. Active ranks are taken in
 ascending order from a heap; a rule is applied to all its positions at once, from
 left to right where occurrences overlap, and the pairs this makes with the
-neighbours enter the lists of their own ranks.
+neighbours enter the lists of their own ranks. A rank with few positions takes them
+one after another: most ranks of a batch are rare, and an array step costs the same
+for two positions as for hundreds.
 
 A rule whose product also takes part in an earlier rule could make a pair that has
 to be merged before the rule's next occurrence in the same word. Such rules are
@@ -22,8 +24,11 @@ BORDER, GONE = -1, -2
 
 
 class PairIndex:
-    def __init__(self, rules: dict[tuple[int, int], tuple[int, int]], symbols: int):
-        """``rules``: pair -> (rank, product); ``symbols``: more than any symbol."""
+    def __init__(self, rules: dict[tuple[int, int], tuple[int, int]], symbols: int, few: int = 0):
+        """``rules``: pair -> (rank, product); ``symbols``: more than any symbol.
+
+        ``few``: most positions of a rank that are taken one after another; needs a table of the rules' size.
+        """
         self.width = symbols + 2
         pairs = np.array([(a, b, r, c) for (a, b), (r, c) in rules.items()], np.int64).reshape(-1, 4)
         keys = (pairs[:, 0] + 2) * self.width + pairs[:, 1] + 2
@@ -37,6 +42,8 @@ class PairIndex:
         np.minimum.at(first_use, pairs[:, 1], pairs[:, 2])
         self.one_by_one = first_use[self.rule[:, 2]] < np.arange(n)
         self.none = n
+        self.few = few
+        self.rank_of = dict(zip(self.keys.tolist(), self.ranks.tolist())) if few else {}
 
     def ranks_of(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Rank of each pair, ``none`` where it has no rule."""
@@ -50,6 +57,7 @@ class PairIndex:
         after = np.arange(1, n + 1)
         before = np.arange(-1, n - 1)
         lists: dict[int, list[np.ndarray]] = {}
+        single: dict[int, list[int]] = {}
         heap: list[int] = []
 
         def add(places: np.ndarray, ranks: np.ndarray) -> None:
@@ -66,17 +74,51 @@ class PairIndex:
                 own = lists.get(rank)
                 if own is None:
                     lists[rank] = [places[lo:hi]]
-                    heappush(heap, rank)
+                    if rank not in single:
+                        heappush(heap, rank)
                 else:
                     own.append(places[lo:hi])
 
+        def merge_few(rank: int, places: list[int]) -> None:
+            left, right, product = self.rule[rank].tolist()
+            spots = []
+            for at in places:  # ascending: of overlapping occurrences the left one is taken
+                if symbols.item(at) != left:
+                    continue
+                follow = after.item(at)
+                if symbols.item(follow) != right:
+                    continue
+                symbols[at], symbols[follow] = product, GONE
+                beyond = after.item(follow)
+                after[at], before[beyond] = beyond, at
+                spots.append(at)
+            for at in spots:
+                prior = before.item(at)
+                for spot in (prior, at) if prior >= 0 else (at,):
+                    key = (symbols.item(spot) + 2) * self.width + symbols.item(after.item(spot)) + 2
+                    made = self.rank_of.get(key)
+                    if made is None:
+                        continue
+                    own = single.get(made)
+                    if own is None:
+                        single[made] = [spot]
+                        if made not in lists:
+                            heappush(heap, made)
+                    else:
+                        own.append(spot)
+
         if len(self.keys) and n > 1:
             add(np.arange(n - 1), self.ranks_of(symbols[:-1], symbols[1:]))
         heapify(heap)
         while heap:
             rank = heappop(heap)
-            own = lists.pop(rank)
-            places = own[0] if len(own) == 1 else np.unique(np.concatenate(own))
+            own, loose = lists.pop(rank, []), single.pop(rank, [])
+            if len(loose) + sum(map(len, own)) <= self.few and not self.one_by_one[rank]:
+                merge_few(rank, sorted({*loose, *(x for a in own for x in a.tolist())}))
+                continue
+            if loose:
+                own.append(np.array(loose, np.int64))
+            places = own[0] if len(own) == 1 and not loose else np.unique(np.concatenate(own))
             left, right, product = self.rule[rank].tolist()
             places = places[symbols[places] == left]
             follow = after[places]

@@ -83,6 +83,37 @@ def test_pair_index_equals_word_by_word(raw, words):
     assert [np.frombuffer(g, "<u4").tolist() for g in got] == [one_word(rules, w) for w in words]
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 5), st.integers(0, 5), st.integers(3, 5)), max_size=8, unique_by=lambda r: r[:2]),
+       st.lists(st.lists(st.integers(0, 2), min_size=1, max_size=9), min_size=1, max_size=5), st.integers(1, 12))
+def test_pair_index_of_few_positions_equals_word_by_word(raw, words, few):
+    """Ranks with few positions, taken one by one, and those with more in the same words."""
+    rules = {(a, b): (rank, c) for rank, (a, b, c) in enumerate(raw)}
+    flat = np.concatenate([np.array(w, np.int64) for w in words])
+    got = PairIndex(rules, 6, few).encode(flat, np.array([len(w) for w in words]), "<u4")
+    assert [np.frombuffer(g, "<u4").tolist() for g in got] == [one_word(rules, w) for w in words]
+
+
+def test_rare_ranks_take_no_array_step(monkeypatch):
+    """Random letters use hundreds of ranks a few times each: array steps are left to the frequent ones."""
+    rng, steps = random.Random(5), []
+    words = [" " + "".join(rng.choices(string.ascii_lowercase, k=12)) for _ in range(300)]
+    v = bpe.vocabulary(P.path(bpe.FILE))
+    lookup = PairIndex.ranks_of
+    monkeypatch.setattr(PairIndex, "ranks_of", lambda self, *x: steps.append(1) or lookup(self, *x))
+    got = v.encode_chunks(words)
+    library = Tokenizer.from_file(P.path(bpe.FILE))
+    assert [np.frombuffer(g, "<u4").tolist() for g in got] == [library.encode(w, add_special_tokens=False).ids for w in words]
+    assert len(steps) < 100
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.text("aZé ²'.,!?-_7 \u0301", min_size=1, max_size=8))
+def test_pretokens_are_the_pattern_s(text):
+    v = bpe.vocabulary(P.path(bpe.FILE))
+    assert list(v.pretokens(text)) == v.pattern.findall(text) and list(v.pretokens(" " + text)) == v.pattern.findall(" " + text)
+
+
 def test_token_counts_of_odd_rows(make_docs, odd_rows):
     out = token_counts.count_tokens(make_docs(odd_rows), limit=5).collect()
     want = [(i, len((t or "").encode()), len(piece_lib.encode(t or ""))) for i, t in odd_rows]
