@@ -27,7 +27,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def apply_quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and stay within their script's fertility bands."""
-    return quality.keep_good(docs)
+    return quality.keep_good(docs, cache_entries=200_000)
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,7 +43,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents with their places in sequences of ``LIMIT`` tokens."""
     # workers and heap come grown from four other stages: smaller slices and cache than packing alone would take
-    return packing.pack_documents(docs, limit=LIMIT, slice_bytes=3_000_000, cache_entries=300_000).withColumnRenamed("id", "doc_id")
+    return packing.pack_documents(docs, limit=LIMIT, slice_bytes=2_000_000, cache_entries=200_000).withColumnRenamed("id", "doc_id")
 
 
 STAGES = [

@@ -2,7 +2,7 @@
 
 Training counts, per language, the n-grams (orders ``ORDERS``, lower-cased code
 points, hashed to ``BUCKETS``) of every labelled text. A task hands on one count
-vector per language, cut in ``CHUNKS`` pieces; these are summed as they stream
+vector per language, cut in ``CHUNKS`` small pieces; these are summed as they stream
 through the reducers. The driver takes ``languages x BUCKETS`` counts, whatever the
 input, and broadcasts the matrix of log probabilities (add-one smoothing) and priors.
 
@@ -40,9 +40,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.llm.common import record, slices, small_batches
-from ledgerlens.llm.pieces import texts_of
+from ledgerlens.llm.pieces import forget, texts_of
 
-BUCKETS, ORDERS, CHUNKS = 1 << 16, (2, 3), 16
+BUCKETS, ORDERS = 1 << 16, (2, 3)
+# A reducer gets as many pieces of each vector as there are tasks, batch by batch: pieces are small (4 KB).
+CHUNKS, REDUCERS = 128, 16
 SLICE_CHARS = 1_000_000
 MOST_DEPTH, LEAST_TEXTS, MOST_UNSEEN = 0.4, 20, 0.4
 UNKNOWN = "und"
@@ -82,6 +84,7 @@ def _digits(texts: list[str]) -> np.ndarray:
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A task's counts: per language its texts and the n-grams per bucket, in chunks."""
+    forget()
     sums: dict[str, np.ndarray] = {}
     texts_seen: dict[str, int] = {}
     for batch in batches:
@@ -177,7 +180,7 @@ def train(labelled: DataFrame, lang_col: str = "lang", text_col: str = "text") -
     small_batches(labelled)
     rows = labelled.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"))
     parts = rows.filter(F.col("lang").isNotNull() & F.col("text").isNotNull()).mapInArrow(_count, PARTIAL)
-    sums = parts.repartition(CHUNKS, "lang", "chunk").mapInPandas(_sum, PARTIAL).collect()
+    sums = parts.repartition(REDUCERS, "lang", "chunk").mapInPandas(_sum, PARTIAL).collect()
     langs = sorted({r["lang"] for r in sums})
     counts, texts = np.zeros((len(langs), BUCKETS)), np.zeros(len(langs))
     step = BUCKETS // CHUNKS
@@ -194,6 +197,7 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         m = shared.value
         for batch in batches:
             texts = texts_of(batch.column(1))
@@ -219,6 +223,7 @@ def keep_known(docs: DataFrame, model: Model, least_score: float = 0.5, text_col
     place = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         m = shared.value
         for batch in batches:
             texts = texts_of(batch.column(place))

@@ -56,9 +56,11 @@ from ledgerlens.llm.pieces import forget
 from ledgerlens.llm.shingles import mixed, shingle_sets
 from ledgerlens.session import checkpoint_dir
 
-SKETCH, CHUNK = 1 << 22, 1 << 16
+SKETCH = 1 << 22
 SLICE_BYTES = 1_000_000
-FILTER_BITS, FILTER_CHUNK = 1 << 25, 1 << 19
+FILTER_BITS = 1 << 25
+# Arrays are summed in rows of CHUNK bytes: a reducer gets as many rows as there are tasks, batch by batch.
+CHUNK, ROWS, REDUCERS = 1 << 12, 64, 64
 SMALL = 8
 FETCH_BUCKETS = 1 << 18
 PROBES = 16
@@ -94,6 +96,15 @@ def classes(docs: DataFrame, n: int, id_col: str = "doc_id", text_col: str = "te
     return rows.mapInArrow(lambda b: _classes(b, n), f"id {id_type}, hash long, cls binary, n long")
 
 
+def _chunks(data: np.ndarray, name: str) -> Iterator[pa.RecordBatch]:
+    """Rows of ``CHUNK`` bytes of an array of bytes, with their number; those that are all zero are left out."""
+    rows = data.reshape(-1, CHUNK)
+    told = np.flatnonzero(rows.any(axis=1))
+    for lo in range(0, len(told), ROWS):
+        own = told[lo:lo + ROWS]
+        yield record({"chunk": pa.array(own, pa.int32()), name: pa.array([rows[i].tobytes() for i in own], pa.binary())})
+
+
 # --- rare-first order
 
 def _sketch(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatch]:
@@ -104,11 +115,7 @@ def _sketch(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatc
         for a, b in slices(map(len, texts), SLICE_BYTES):
             grams, _ = shingle_sets(texts[a:b], n)
             np.add.at(counts, (grams & np.uint64(SKETCH - 1)).astype(np.int64), 1)
-    small = np.minimum(counts, 255).astype(np.uint8)
-    for i in range(0, SKETCH, CHUNK):
-        own = small[i:i + CHUNK]
-        if own.any():
-            yield record({"chunk": pa.array([i // CHUNK], pa.int32()), "counts": pa.array([own.tobytes()], pa.binary())})
+    yield from _chunks(np.minimum(counts, 255).astype(np.uint8), "counts")
 
 
 def _levels(counts: np.ndarray) -> np.ndarray:
@@ -130,7 +137,7 @@ def rarity(docs: DataFrame, n: int, text_col: str = "text") -> np.ndarray:
     """Level of every sketch bucket over all documents; ``SKETCH`` bytes reach the driver."""
     small_batches(docs)
     parts = docs.select(whole_text(F.col(text_col)).alias("text")).mapInArrow(lambda b: _sketch(b, n), "chunk int, counts binary")
-    sums = parts.repartition(SKETCH // CHUNK, "chunk").mapInPandas(_sum_chunks, "chunk int, levels binary")
+    sums = parts.repartition(REDUCERS, "chunk").mapInPandas(_sum_chunks, "chunk int, levels binary")
     out = np.zeros(SKETCH, np.uint8)
     for r in sums.collect():
         out[r["chunk"] * CHUNK:(r["chunk"] + 1) * CHUNK] = np.frombuffer(r["levels"], np.uint8)
@@ -191,11 +198,7 @@ def _filter_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
     bits = np.zeros(FILTER_BITS, bool)
     for batch in batches:
         bits[_bit_of(batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64))] = True
-    packed = np.packbits(bits, bitorder="little")
-    for i in range(0, len(packed), FILTER_CHUNK):
-        own = packed[i:i + FILTER_CHUNK]
-        if own.any():
-            yield record({"chunk": pa.array([i // FILTER_CHUNK], pa.int32()), "bits": pa.array([own.tobytes()], pa.binary())})
+    yield from _chunks(np.packbits(bits, bitorder="little"), "bits")
 
 
 def _or_chunks(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -209,11 +212,11 @@ def _or_chunks(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def key_filter(keys: DataFrame) -> np.ndarray:
     """A bit per hashed key, set for those of ``keys``; ``FILTER_BITS / 8`` bytes reach the driver."""
-    chunks = FILTER_BITS // 8 // FILTER_CHUNK
+    small_batches(keys)
     parts = keys.mapInArrow(_filter_chunks, "chunk int, bits binary")
     out = np.zeros(FILTER_BITS // 8, np.uint8)
-    for r in parts.repartition(chunks, "chunk").mapInPandas(_or_chunks, "chunk int, bits binary").collect():
-        out[r["chunk"] * FILTER_CHUNK:(r["chunk"] + 1) * FILTER_CHUNK] = np.frombuffer(r["bits"], np.uint8)
+    for r in parts.repartition(REDUCERS, "chunk").mapInPandas(_or_chunks, "chunk int, bits binary").collect():
+        out[r["chunk"] * CHUNK:(r["chunk"] + 1) * CHUNK] = np.frombuffer(r["bits"], np.uint8)
     return out
 
 

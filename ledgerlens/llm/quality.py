@@ -151,13 +151,13 @@ def _entropy(ids: np.ndarray) -> float:
 class Fertility:
     """Token measures of texts with one vocabulary."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, cache_entries: int = pieces.CACHE_ENTRIES):
         self.model = pieces.model(path)
         size = self.model.get_piece_size()
         self.kind = "<u2" if size <= 1 << 16 else "<u4"
         white = {f"<0x{b:02X}>" for b in WHITE.encode()}
         self.fallback = np.array([self.model.is_byte(i) and self.model.id_to_piece(i) not in white for i in range(size)])
-        self.cache = pieces.worker_cache(("ids", path), lambda: self._encode)
+        self.cache = pieces.worker_cache(("ids", path), lambda: self._encode, cache_entries)
 
     def _encode(self, keys: list[str]) -> list[bytes]:
         return [np.array(ids, self.kind).tobytes() for ids in self.model.encode(keys, num_threads=1)]
@@ -249,14 +249,15 @@ def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", pat
         run, f"id {id_type}, {MEASURES}")
 
 
-def keep_good(docs: DataFrame, text_col: str = "text", path: str | None = None) -> DataFrame:
-    """The rows whose text is kept, all columns unchanged. A narrow step."""
+def keep_good(docs: DataFrame, text_col: str = "text", path: str | None = None,
+              cache_entries: int = pieces.CACHE_ENTRIES) -> DataFrame:
+    """The rows whose text is kept, all columns unchanged. A narrow step; a worker holds ``cache_entries`` segments."""
     small_batches(docs)
     path = path or pieces.model_path()
     place = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fertility = Fertility(path)
+        fertility = Fertility(path, cache_entries)
         for batch in batches:
             texts = text_bytes(batch.column(place))
             kept = [k for a, b in slices(map(len, texts), SLICE_BYTES) for k in judge(texts[a:b], fertility)["kept"]]

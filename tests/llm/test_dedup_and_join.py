@@ -3,9 +3,10 @@ from collections import defaultdict
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from ledgerlens.llm import components, exact_dedup, ngram_join, shingles
+from ledgerlens.llm import components, exact_dedup, langid, ngram_join, shingles
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 AZ = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -172,3 +173,35 @@ def test_exact_stage_keeps_the_longest_of_repeated_ids(make_docs):
     assert got.columns == docs.columns
     assert sorted(map(repr, [(r["doc_id"], r["text"]) for r in got.collect()])) == sorted(map(repr, [
         (1, "a  b   c"), (1, "other"), (None, "x  y"), (None, "z"), (3, ""), (5, "alone")]))
+
+
+# --- arrays summed over tasks
+
+MOST_BATCH_MB = 16
+
+
+def batch_mb(batches):
+    """MB of a reducer's batch of 2,000 of the largest rows."""
+    return 2000 * max(len(x) for b in batches for x in b.column(b.num_columns - 1).to_pylist()) / 1e6
+
+
+def test_rows_of_arrays_fill_no_large_batch():
+    """A reducer gets the same piece of every task's array: what it holds must not grow with the tasks."""
+    keys = pa.array(np.arange(200_000) * 7919, pa.int64())
+    assert batch_mb(ngram_join._filter_chunks(iter([pa.record_batch([keys], ["key"])]))) <= MOST_BATCH_MB
+    text = pa.array([" ".join(f"w{i}" for i in range(60_000))])
+    assert batch_mb(ngram_join._sketch(iter([pa.record_batch([text], ["text"])]), 2)) <= MOST_BATCH_MB
+    assert batch_mb(langid._count(iter([pa.record_batch([pa.array(["en"]), text], ["lang", "text"])]))) <= MOST_BATCH_MB
+
+
+def test_filter_and_rarity_of_many_tasks_match_brute_force(spark):
+    keys = spark.range(0, 3000, 1, 40).selectExpr("id * 1000003 - 7 AS several")
+    want = np.zeros(ngram_join.FILTER_BITS, bool)
+    want[ngram_join._bit_of(np.arange(3000, dtype=np.int64).view(np.uint64) * np.uint64(1000003) - np.uint64(7))] = True
+    assert (np.unpackbits(ngram_join.key_filter(keys), bitorder="little").astype(bool) == want).all()
+    texts = [" ".join(f"w{(i * j) % 50}" for j in range(30)) for i in range(60)]
+    counts = np.zeros(ngram_join.SKETCH, np.int64)
+    grams, _ = shingles.shingle_sets([t.encode() for t in texts], 2)
+    np.add.at(counts, (grams & np.uint64(ngram_join.SKETCH - 1)).astype(np.int64), 1)
+    docs = spark.createDataFrame([(t,) for t in texts], "text string").repartition(12)
+    assert (ngram_join.rarity(docs, 2) == ngram_join._levels(counts)).all()
